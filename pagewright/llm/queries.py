@@ -23,8 +23,57 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe_vocabulary())
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.scored(table(spark, sf_dir, "documents"))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc.archived(table(spark, sf_dir, "pages")).select(*columns)
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from . import topk
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.search(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op3_langid": op3_langid,
+    "op4_warc": op4_warc,
+    "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
+    "op8_licenses": op8_licenses,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_topk": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
