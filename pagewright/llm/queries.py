@@ -57,6 +57,12 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html
+
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_langid": op3_langid,
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
     "op8_licenses": op8_licenses,
+    "op10_html": op10_html,
 }
 
 ORACLES: dict[str, str] = {
