@@ -51,6 +51,12 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import neardup
+
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import licenses
 
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_topk": op5_topk,
     "op6_bpe": op6_bpe,
+    "op7_neardup": op7_neardup,
     "op8_licenses": op8_licenses,
     "op10_html": op10_html,
 }

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Groups that are looked up by broadcast; every other group then holds at most 1/HOT_GROUPS of the rows.
 HOT_GROUPS = 2000
+#: Integer ids that may be broadcast at most (some 10 MB).
+BROADCAST_IDS = 400_000
 #: Rows of an Arrow batch that Python handles at once.
 SLICE = 256
 
@@ -71,6 +73,14 @@ def lookup(left: DataFrame, key: str, groups: DataFrame, weight: str, spread: Co
     return out.select(*left.columns, *[found[c].alias(c) for c in values])
 
 
+def keyed(df: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
+    """df semi- or anti-joined with a table of one distinct integer column: by broadcast up to BROADCAST_IDS of them,
+    which are counted first, else shuffled."""
+    ids = written(ids.toDF("__id"), "ids")
+    small = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if small else ids, F.col(key) == F.col("__id"), how)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows: int = SLICE) -> DataFrame:
     """df.mapInArrow over slices of at most `rows` rows, so that Python never holds a whole Arrow batch's results."""
 
