@@ -13,25 +13,25 @@ characters; a null URL writes no WARC-Target-URI. An empty table gives archives
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import lookup, scratch_path
+from .runtime import lookup, scratch_path, written
 
-RECORDS_PER_FILE = 4000
+RECORDS_PER_FILE = 1000
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of a string's UTF-8 bytes: five hex digits at a time make four letters."""
-    digest, letters = F.sha1(payload), []
+def base32_of_hex(digest: Column) -> Column:
+    """Upper-case base32 of a SHA-1 in hex: five hex digits at a time make four letters."""
+    letters = []
     for k in range(8):
         bits = F.conv(F.substring(digest, 5 * k + 1, 5), 16, 10).cast("int")
         for shift in (15, 10, 5, 0):
@@ -45,7 +45,9 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     out = pages.select(
         F.col(id_col).alias("page_id"), F.regexp_replace(url_col, r"[\x00-\x20\x7f]+", "%20").alias("url"), payload.alias("payload")
     )
-    out = out.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
+    # The hash is a column of its own: as a part of the digest's expression it would be made once for each letter.
+    out = out.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "__sha1": F.sha1("payload")})
+    out = out.withColumn("payload_digest", base32_of_hex(F.col("__sha1"))).drop("__sha1")
     name = F.md5(F.concat_ws("\n", F.col("page_id").cast("string"), "url", "payload_digest"))
     parts = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return out.withColumn("record_id", F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts)))
@@ -53,15 +55,16 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
 def resolved(recs: DataFrame, least: int = 0) -> DataFrame:
     """recs with refers_to, refers_to_id and refers_to_url: of revisits the response's, else null."""
-    head = F.struct("page_id", "record_id", "url")
+    head = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id", "url"))
     first = (
-        recs.where((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull())
+        recs.where(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
         .agg(F.max(head).alias("first"), F.count("*").alias("records"))
+        .where("records > 1 AND first IS NOT NULL")
     )
-    # A group of one still answers for rows with the same payload but no page_id.
+    first = written(first, "responses")
     out = lookup(recs, "payload_digest", first, "records", F.col("record_id"))
-    revisit = (F.col("payload_bytes") >= least) & ~F.col("first.page_id").eqNullSafe(F.col("page_id"))
+    revisit = F.col("first").isNotNull() & (F.col("payload_bytes") >= least) & ~F.col("first.page_id").eqNullSafe(F.col("page_id"))
     for name, of in (("refers_to", "page_id"), ("refers_to_id", "record_id"), ("refers_to_url", "url")):
         out = out.withColumn(name, F.when(revisit, F.col(f"first.{of}")))
     return out.drop("first")
@@ -117,7 +120,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _rows(content: bytes, with_payload: bool) -> Iterator[dict]:
-    for fields, block in parse(zlib.decompress(content, 47)):
+    for fields, block in parse(gzip.decompress(content)):
         head, _, payload = block.partition(b"\r\n\r\n")
         http = dict(x.split(": ", 1) for x in head.decode().split(EOL)[1:])
         response = fields["WARC-Type"] == "response"
