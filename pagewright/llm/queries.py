@@ -63,6 +63,12 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import html
 
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_neardup": op7_neardup,
     "op8_licenses": op8_licenses,
+    "op9_decontaminate": op9_decontaminate,
     "op10_html": op10_html,
 }
 
