@@ -29,6 +29,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"))
 
 
+def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import linededup
+
+    return linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid
 
@@ -77,6 +83,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_linededup": op2_linededup,
     "op3_langid": op3_langid,
     "op4_warc": op4_warc,
     "op5_topk": op5_topk,
@@ -88,6 +95,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_linededup": r"""
+WITH l AS (
+    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS value
+    FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), t AS (
+    SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(value), '\s+'), lambda x: x <> ''))) AS s FROM l
+), c AS (SELECT s, min((doc_id, line)) AS first, row_number() OVER (ORDER BY s) AS id FROM t WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT id, len(s) AS n, unnest(s) AS tok FROM c WHERE len(s) >= 4),
+f AS (SELECT tok, count(*) AS df FROM e GROUP BY tok),
+r AS (SELECT id, n, tok, row_number() OVER (PARTITION BY id ORDER BY df, tok) AS i FROM e JOIN f USING (tok)),
+p AS (SELECT * FROM r WHERE i <= n - (4 * n + 4) // 5 + 1),
+k AS (SELECT DISTINCT a.id AS x, b.id AS y FROM p a JOIN p b ON a.tok = b.tok AND a.id <> b.id AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
+g AS (
+    SELECT DISTINCT x FROM k JOIN c a ON a.id = x JOIN c b ON b.id = y
+    WHERE b.first < a.first AND 9 * len(list_intersect(a.s, b.s)) >= 4 * (len(a.s) + len(b.s))
+), m AS (
+    SELECT t.doc_id, t.line, t.value, c.id IS NOT NULL AND (c.first < (t.doc_id, t.line)) AS again, c.id IN (SELECT x FROM g) AS sim
+    FROM t LEFT JOIN c ON t.s = c.s
+), o AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (again OR sim) AS n_removed, count(*) FILTER (again) AS n_repeats,
+        coalesce(string_agg(value, chr(10) ORDER BY line) FILTER (NOT coalesce(again OR sim, FALSE)), '') AS text
+    FROM m GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, d.text) END AS text,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_repeats, 0) AS n_repeats
+FROM documents d LEFT JOIN o USING (doc_id)""",
     "op5_topk": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
