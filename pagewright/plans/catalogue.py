@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from ..operators import quality
+
+MODULES = (quality,)
+
+QUERIES = {k: q for m in MODULES for k, q in m.QUERIES.items()}
+ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}
