@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import quality
+from ..operators import kqi, quality, relate, telemetry
 
-MODULES = (quality,)
+MODULES = (quality, kqi, telemetry, relate)
 
 QUERIES = {k: q for m in MODULES for k, q in m.QUERIES.items()}
 ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}
