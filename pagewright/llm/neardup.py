@@ -7,8 +7,8 @@ pairs at a similarity of 0.8). Meetings are verified: links have a weighted Jacc
 
 Texts of the same words are one node from the start. In each band's bucket, every node is verified against the bucket's
 centre (the text with most copies), so a bucket of any size takes as many verifications as it has nodes. Where that
-leaves a bucket in several components, all pairs of nodes in different ones are verified too: pairs within a component
-can't change the classes. A class is a connected component; its id is the least doc_id.
+leaves a bucket in several components, the nodes outside the largest one are compared with all nodes of the other ones,
+chunk by chunk: pairs within a component can't change the classes. A class is a connected component; its id is the least doc_id.
 
 Nulls and texts without words are in no class but their own. Rows sharing a doc_id are the same document. A null doc_id
 gives a null class. Texts of fewer than five words are one shingle. An empty table gives no rows. Only id and text are
@@ -37,13 +37,15 @@ _SLICES = 1024
 TABLE = 8192
 #: Pairs of one centre that are verified beside one copy of its text.
 PER_CENTRE = 200
+#: Nodes of a bucket that are compared with as many others in one task, about.
+CHUNK = 512
 
 
-def _tables() -> tuple[np.ndarray, ...]:
-    """r, 1/r, ln c and beta of consistent weighted sampling, samples x TABLE."""
+def _tables() -> np.ndarray:
+    """beta, 1/r, r and ln c - r of consistent weighted sampling: TABLE rows of 4 x SAMPLES."""
     g = np.random.default_rng(77)
-    r = g.gamma(2, 1, (SAMPLES, TABLE)).astype(np.float32)
-    return r, 1 / r, np.log(g.gamma(2, 1, (SAMPLES, TABLE))).astype(np.float32), g.random((SAMPLES, TABLE), np.float32)
+    r, c = g.gamma(2, 1, (TABLE, SAMPLES)), g.gamma(2, 1, (TABLE, SAMPLES))
+    return np.hstack([g.random((TABLE, SAMPLES)), 1 / r, r, np.log(c) - r]).astype(np.float32)
 
 
 _made: list = []
@@ -59,6 +61,11 @@ def weights(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return found, counts * idf[bucket_of(found)]
 
 
+def shown(words: np.ndarray) -> str:
+    """The fingerprint of a text's words as text."""
+    return "%x:%x" % tuple(x & (1 << 64) - 1 for x in shingles.fingerprint(words))
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard: the sum of the lesser weights over that of the greater ones."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -70,21 +77,23 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def bands(found: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """BANDS keys of a text with at least one shingle."""
     if not _made:
-        _made.extend(_tables())
-    r, inverse, log_c, beta = _made
-    best = np.full(SAMPLES, np.inf, np.float32)
-    shingle, level = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
-    every = np.arange(SAMPLES)
-    for at in range(0, len(found), 1 << 14):
-        part, log_w = found[at : at + (1 << 14)], np.log(weight[at : at + (1 << 14)]).astype(np.float32)
-        col = (part & np.uint64(TABLE - 1)).astype(np.int64)
-        b, rr = beta[:, col], r[:, col]
-        t = np.floor(log_w * inverse[:, col] + b)
-        value = log_c[:, col] - rr * (t + 1 - b)
-        first = value.argmin(axis=1)
-        low = value[every, first]
+        _made.append(_tables())
+    n = SAMPLES
+    best = np.full(n, np.inf, np.float32)
+    shingle, level = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+    every = np.arange(n)
+    for at in range(0, len(found), 2048):
+        part, log_w = found[at : at + 2048], np.log(weight[at : at + 2048]).astype(np.float32)
+        rows = _made[0][(part & np.uint64(TABLE - 1)).astype(np.int64)]
+        t = log_w[:, None] * rows[:, n : 2 * n]
+        t += rows[:, :n]
+        np.floor(t, out=t)
+        value = (rows[:, :n] - t) * rows[:, 2 * n : 3 * n]
+        value += rows[:, 3 * n :]
+        first = value.argmin(axis=0)
+        low = value[first, every]
         less = low < best
-        best[less], shingle[less], level[less] = low[less], part[first[less]], t[every, first][less].astype(np.int64)
+        best[less], shingle[less], level[less] = low[less], part[first[less]], t[first, every][less].astype(np.int64)
     one = shingles.mixed(shingle + shingles.mixed(level.astype(np.uint64))).reshape(BANDS, ROWS)
     out = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
@@ -133,7 +142,7 @@ def signatures(docs: DataFrame, idf, id_col: str, text_col: str) -> DataFrame:
         fps, keys = [], np.zeros((batch.num_rows, BANDS), np.int64)
         for i, text in enumerate(batch.column(1)):
             words = shingles.word_hashes(text.as_py())
-            fps.append("%x:%x" % tuple(x & (1 << 64) - 1 for x in shingles.fingerprint(words)) if len(words) else None)
+            fps.append(shown(words) if len(words) else None)
             if len(words):
                 keys[i] = bands(*weights(shingles.shingle_hashes(words), idf.value))
         cols = [pa.array(np.ascontiguousarray(c)) for c in keys.T]
@@ -166,7 +175,7 @@ def verified(pairs: DataFrame, docs: DataFrame, idf, least: float, id_col: str,
                 if len(known) > 8:
                     known.clear()
                 words = shingles.word_hashes(text)
-                known[text] = ("%x:%x" % tuple(x & (1 << 64) - 1 for x in shingles.fingerprint(words)), weights(shingles.shingle_hashes(words), idf.value))
+                known[text] = (shown(words), weights(shingles.shingle_hashes(words), idf.value))
             return known[text]
 
         for i in range(batch.num_rows):
@@ -180,6 +189,59 @@ def verified(pairs: DataFrame, docs: DataFrame, idf, least: float, id_col: str,
     return written(arrow_map(both.where("u_text IS NOT NULL AND v_text IS NOT NULL"), run, "u long, v long"), "links")
 
 
+def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) between components that share a bucket: one for each node outside the bucket's main component and
+    each component it is linked to there.
+
+    Both sides of a bucket are dealt to chunks of about CHUNK nodes, so no task holds more than two of them, and pairs
+    are compared within a task, not as rows. A pair that shares several buckets is compared in the first of them.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    texts = keyed(source, "node", open_.select("node").distinct(), "left_semi")
+    texts = written(texts.join(nodes.select("node", F.array(*[f"b{i}" for i in range(BANDS)]).alias("keys")), "node"), "texts")
+    parts = lambda n: F.greatest(F.ceil(F.col(n) / CHUNK), F.lit(1)).cast("long")
+    of = lambda n: F.pmod(F.xxhash64("node"), parts(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), parts(n) - 1))
+    whole = open_.join(texts, "node")
+    left = whole.where("label <> main").select("key", of("others").alias("x"), each("n").alias("y"), F.lit(True).alias("outer"), "node", "fp", "label", "keys", "text")
+    right = whole.select("key", each("others").alias("x"), of("n").alias("y"), F.lit(False).alias("outer"), "node", "fp", "label", "keys", "text")
+
+    def compare(group: pa.Table) -> pa.Table:
+        key, rows, outer = group["key"][0].as_py(), [], group["outer"].to_pylist()
+        for fp, text in zip(group["fp"].to_pylist(), group["text"].to_pylist(), strict=True):
+            words = shingles.word_hashes(text)
+            rows.append(weights(shingles.shingle_hashes(words), idf.value) if fp == shown(words) else None)
+        label, node = group["label"].to_numpy(), group["node"].to_numpy()
+        keys = np.array(group["keys"].to_pylist(), np.int64).reshape(-1, BANDS)
+        inner = [i for i, r in enumerate(rows) if r is not None and not outer[i]]
+        us, vs = [], []
+        if inner:
+            found, ids = np.unique(np.concatenate([rows[i][0] for i in inner]), return_inverse=True)
+            w = np.concatenate([rows[i][1] for i in inner])
+            lengths = [len(rows[i][0]) for i in inner]
+            starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+            total = np.add.reduceat(w, starts)
+            at = np.array(inner)
+            for i in (i for i, r in enumerate(rows) if r is not None and outer[i]):
+                same = keys[at] == keys[i]
+                first = np.take_along_axis(np.broadcast_to(keys[i], same.shape), same.argmax(axis=1)[:, None], 1)[:, 0]
+                wanted = same.any(axis=1) & (first == key) & (label[at] != label[i])
+                if not wanted.any():
+                    continue
+                mine = np.zeros(len(found))
+                place = np.minimum(np.searchsorted(found, rows[i][0]), len(found) - 1)
+                hit = found[place] == rows[i][0]
+                mine[place[hit]] = rows[i][1][hit]
+                low = np.add.reduceat(np.minimum(mine[ids], w), starts)
+                good = at[wanted & (low >= least * (total + rows[i][1].sum() - low))]
+                _, one = np.unique(label[good], return_index=True)
+                us += [int(node[i])] * len(one)
+                vs += node[good[one]].tolist()
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    return written(left.union(right).groupBy("key", "x", "y").applyInArrow(compare, "u long, v long"), "links")
+
+
 def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and class_id of every row."""
     spark: SparkSession = docs.sparkSession
@@ -196,20 +258,16 @@ def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_
     links = verified(pairs.distinct(), docs, idf, least, id_col, text_col)
     label = components(links)
 
-    # Buckets that hold several components: pairs across them.
+    # Buckets that hold several components: all pairs across them, but for those within the largest one.
     labelled = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")).select("key", "node", "fp", "label")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low <> high")
-    open_ = written(lookup(labelled, "key", mixed, "n", F.col("node")).where("low IS NOT NULL").drop("low", "high"), "open")
+    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
+    sizes = sizes.where("most < n").withColumn("others", F.col("n") - F.col("most")).drop("most")
+    weighed = sizes.withColumn("rows", F.col("n"))
+    open_ = written(lookup(labelled, "key", weighed, "rows", F.col("node")).where("main IS NOT NULL"), "open")
     if not open_.isEmpty():
-        size = open_.groupBy("key", "label").agg(F.count("*").alias("size"))
-        sized = open_.join(size, ["key", "label"])
-        a, b = [sized.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "fp", "label", "size")]) for s in "ab"]
-        order = F.struct("a_size", "a_label") < F.struct("b_size", "b_label")
-        across = a.join(b, "key").where(order & (F.col("a_label") != F.col("b_label")))
-        across = across.select(F.col("a_node").alias("u"), F.col("a_fp").alias("u_fp"), F.col("b_node").alias("v"), F.col("b_fp").alias("v_fp")).distinct()
-        more = verified(across, docs, idf, least, id_col, text_col)
         known = label.select(F.col("node").alias("u"), F.col("label").alias("v"))
-        label = components(known.union(more))
+        label = components(known.union(across(open_, nodes, docs, idf, least, id_col, text_col)))
     named = nodes.join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("class_id"), "copies")
     out = lookup(rows.select("doc_id", "fp"), "fp", named, "copies", F.col("doc_id"))
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
