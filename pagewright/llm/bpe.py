@@ -29,7 +29,7 @@ from .runtime import arrow_map
 
 NEVER = 1 << 40
 #: Words of a generation of a worker's memory; the words of the last generation are still found and move on.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
 
 
 def _class(letter: str) -> str:
@@ -57,6 +57,10 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+#: Bytes of a word up to which a scan for the least rank is faster than a heap.
+SHORT = 40
+
+
 class ByteBpe:
     """A byte-level BPE vocabulary in the public JSON format."""
 
@@ -78,10 +82,14 @@ class ByteBpe:
         self.rank = np.full(n, -1, np.int64)
         self.left, self.right = np.zeros(n, np.int64), np.zeros(n, np.int64)
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.due: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         codes = np.empty(len(merges), np.int64)
         for r, (a, b) in enumerate(merges):
             x, y, z = vocab[a], vocab[b], vocab[a + b]
             self.merge[x, y] = (r, z)
+            self.due[x, y] = r
+            self.made.append(z)
             self.rank[z], self.left[z], self.right[z] = r, x, y
             codes[r] = x * n + y
         order = np.argsort(codes)
@@ -144,8 +152,23 @@ class ByteBpe:
 
     # Exact merging
 
+    def merged_short(self, word: bytes) -> list[int]:
+        """Merges in order of rank, leftmost first; the least rank is looked for among all pairs each time."""
+        due, made = self.due.get, self.made
+        ids = [self.byte_id[b] for b in word]
+        ranks = [due(p, NEVER) for p in zip(ids, ids[1:])]
+        while ranks and (r := min(ranks)) < NEVER:
+            i = ranks.index(r)
+            ids[i : i + 2] = [z] = [made[r]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = due((ids[i - 1], z), NEVER)
+            if i < len(ranks):
+                ranks[i] = due((z, ids[i + 1]), NEVER)
+        return ids
+
     def merged(self, word: bytes) -> list[int]:
-        """Merges in order of rank, leftmost first; a heap over a linked list, so long words stay near-linear."""
+        """The same for long words. Merges in order of rank, leftmost first; a heap over a linked list, so long words stay near-linear."""
         ids = [self.byte_id[b] for b in word]
         n = len(ids)
         after, before, merge = [*range(1, n), -1], [-1, *range(n - 1)], self.merge
@@ -181,7 +204,7 @@ class ByteBpe:
         failing = np.zeros(len(words), bool)
         failing[word_of[inner[~ok[of_pair]]]] = True
         for i in np.flatnonzero(failing):
-            proposed[i] = self.merged(raw[i])
+            proposed[i] = self.merged_short(raw[i]) if len(raw[i]) <= SHORT else self.merged(raw[i])
         self.cache.update(zip(words, map(tuple, proposed), strict=True))
 
     def words_of(self, text: str) -> list[str]:
@@ -198,7 +221,7 @@ class ByteBpe:
         split = [self.words_of(t) if t else [] for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.older, self.cache = self.cache, {}
-        new = {w for words in split for w in words if w not in self.cache}
+        new = set().union(*split).difference(self.cache)
         self.cache.update((w, self.older[w]) for w in new if w in self.older)
         new = {w for w in new if w not in self.cache}
         for t, i in self.added.items():
@@ -208,7 +231,7 @@ class ByteBpe:
         if new:
             self.learn([*new])
         known = self.cache
-        return [np.array([*chain.from_iterable([known[w] for w in words])], np.int32) for words in split]
+        return [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32) for words in split]
 
     def decode_batch(self, batch: list[np.ndarray]) -> list[str]:
         out = []
