@@ -85,7 +85,7 @@ class SidecarSource(DataSource):
 
 def markdown_files(spark: SparkSession, folder: str, skip: str = "QUALITY_REPORT") -> DataFrame:
     """name and text of all Markdown files below a folder, through Spark's own reader."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(folder)
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     name = F.regexp_replace(F.element_at(F.split("_metadata.file_path", "/"), -1), r"\.md$", "")
     return files.select(name.alias("name"), F.col("value").alias("text")).where(~F.startswith("name", F.lit(skip)))
 

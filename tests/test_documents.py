@@ -4,7 +4,7 @@ from pagewright.operators import books, quality, report, sheets, state
 
 SHEET = """# 12-adubo-foliar-3
 
-*Processed with DocMind x*
+*Statistics: 1 figure*
 *Model: y*
 
 ---
