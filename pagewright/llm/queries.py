@@ -32,7 +32,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import linededup
 
-    return linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linededup.deduplicated(table(spark, sf_dir, "documents"))
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ WITH l AS (
     SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS value
     FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ), t AS (
-    SELECT *, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(value), '\s+'), lambda x: x <> ''))) AS s FROM l
+    SELECT *, list_sort(list_distinct(list_filter(string_split(lower(value), ' '), lambda x: x <> ''))) AS s FROM l
 ), c AS (SELECT s, min((doc_id, line)) AS first, row_number() OVER (ORDER BY s) AS id FROM t WHERE len(s) > 0 GROUP BY s),
 e AS (SELECT id, len(s) AS n, unnest(s) AS tok FROM c WHERE len(s) >= 4),
 f AS (SELECT tok, count(*) AS df FROM e GROUP BY tok),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -28,6 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="pagewright-")
+        atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
     return _own_dirs[app]
 
 
@@ -40,6 +43,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark deletes finished stages' shuffle files when the driver's heap is swept
     return spark.read.schema(df.schema).parquet(path)
 
 
