@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 #: Number of hashed features; a power of two.
 DIM = 4096
@@ -33,29 +34,40 @@ def matrix(rows: list[bytes], dim: int = DIM) -> np.ndarray:
     return np.stack([unit(ngram_counts(r, dim)) for r in rows]) if rows else np.zeros((0, dim), np.float32)
 
 
+def gathered(vectors: pa.ChunkedArray, dim: int = DIM) -> np.ndarray:
+    """Counts that tasks sent as bytes of 32-bit floats, as unit rows."""
+    x = np.empty((len(vectors), dim), np.float32)
+    at = 0
+    for chunk in vectors.chunks:
+        for v in chunk:
+            x[at] = unit(np.frombuffer(v.as_buffer(), np.float32))
+            at += 1
+    return x
+
+
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 200) -> np.ndarray:
-    """Linear SVM, y in {-1, 1}: weights and bias for the squared hinge loss with classes in balance."""
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """Linear SVM, y in {-1, 1}, or 0 for rows that don't count: weights and bias for the squared hinge loss with classes
+    in balance."""
+    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), np.where(y < 0, 0.5 / max((y < 0).sum(), 1), 0)).astype(np.float32)
     return _descend(x, lambda z: -2 * cost * share * y * np.maximum(0, 1 - y * z), 4 * cost, steps)
 
 
 def fit_logistic(x: np.ndarray, target: np.ndarray, weight: np.ndarray, cost: float = 200.0, steps: int = 300) -> np.ndarray:
     """Logistic regression on soft targets in 0..1: weights and bias."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     weight = (weight / max(weight.sum(), 1e-9)).astype(np.float32)
     return _descend(x, lambda z: cost * weight * (1 / (1 + np.exp(-z)) - target), cost, steps)
 
 
 def _descend(x: np.ndarray, slope, curve: float, steps: int) -> np.ndarray:
-    """Accelerated gradient descent for a loss of x @ w plus |w|^2 / 2; curve bounds the loss's curvature."""
-    w = v = np.zeros(x.shape[1], np.float32)
+    """Accelerated gradient descent for a loss of x @ w + b plus (|w|^2 + b^2) / 2; curve bounds the loss's curvature."""
+    w = v = np.zeros(x.shape[1] + 1, np.float32)
     rate = 1 / (curve + 1)
     for t in range(steps):
-        step = v - rate * (x.T @ slope(x @ v).astype(np.float32) + v)
+        s = slope(x @ v[:-1] + v[-1]).astype(np.float32)
+        step = v - rate * (np.append(s @ x, s.sum()) + v)
         v = step + t / (t + 3) * (step - w)
         w = step
-    return w
+    return w.astype(np.float32)
 
 
 def margins(x: np.ndarray, w: np.ndarray) -> np.ndarray:

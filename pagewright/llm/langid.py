@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from . import features
 from .runtime import arrow_map
 
-PER_LANGUAGE = 600
+PER_LANGUAGE = 400
 MAX_LANGUAGES = 100
 UNKNOWN = "und"
 #: The pipeline's stage rejects texts below this score.
@@ -111,8 +111,8 @@ def fit(x: np.ndarray, langs: list[str]) -> Model:
         own = model.languages[f] = [n for n in names if family_of(n) == f]
         model.pairs[f] = []
         for (i, a), (j, b) in combinations(enumerate(own), 2):
-            rows = (label == a) | (label == b)
-            model.pairs[f].append((i, j, features.fit_svm(x[rows], np.where(label[rows] == a, 1.0, -1.0).astype(np.float32))))
+            side = np.where(label == a, 1.0, np.where(label == b, -1.0, 0.0)).astype(np.float32)
+            model.pairs[f].append((i, j, features.fit_svm(x, side)))
     return model
 
 
@@ -137,8 +137,9 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_
     got = arrow_map(sample.select("text", "lang"), run, "lang string, x binary").where("x IS NOT NULL").toArrow()
     if not got.num_rows:
         return Model()
-    x = np.stack([features.unit(np.frombuffer(v.as_py(), np.float32)) for v in got["x"]])
-    return fit(x, got["lang"].to_pylist())
+    x, langs = features.gathered(got["x"]), got["lang"].to_pylist()
+    del got
+    return fit(x, langs)
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -122,8 +122,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     got = arrow_map(rows, run, "p string, x binary").toArrow()
     if not got.num_rows:
         return posterior, none
-    x = np.stack([features.unit(np.frombuffer(v.as_py(), np.float32)) for v in got["x"]])
-    target = np.array([posterior[p] for p in got["p"].to_pylist()], np.float32)
+    x, target = features.gathered(got["x"]), np.array([posterior[p] for p in got["p"].to_pylist()], np.float32)
+    del got
     # The rarer class counts as much as the other.
     good = max(float(target.sum()), 1.0)
     bad = max(float((1 - target).sum()), 1.0)
