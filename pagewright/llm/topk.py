@@ -12,7 +12,8 @@ The dimensions are dealt to LISTS lists; a candidate's score is the sum of its p
 Queries are taken in blocks of at most about QUERY_BLOCK rows (one broadcast of bounded size at a time); candidates
 stream by and are never gathered. Vectors that are null, or hold null or non-finite components, take no part, nor do
 rows without an id. Components missing from a shorter vector count as 0; an empty vector scores 0. Repeated rows
-compete each on its own; a repeated query row is answered once. An empty table gives no rows.
+compete each on its own; a repeated query row is answered once. An empty table gives no rows. Components so large that
+an inner product may not fit a long are an error.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ def _matrix(col: pa.Array, width: int = 0) -> np.ndarray:
 def _exact(q: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both in the narrowest type whose sums of products are exact."""
     top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(q.shape[1], 1)
+    if top >= 2**62:
+        raise OverflowError("inner products may not fit a long")
     kind = np.float32 if top < 2**24 else np.float64 if top < 2**53 else np.int64
     return q.astype(kind), v.astype(kind)
 
