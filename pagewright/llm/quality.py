@@ -4,7 +4,7 @@ LABELLERS look at a whole text and vote good (1), bad (-1) or not at all (0). Th
 by pattern (at most 3^LABELLERS numbers, whatever the corpus); expectation-maximisation over these counts estimates how
 often each labeller is right for good and for bad texts, and so each pattern's posterior probability of good. The
 posteriors of at most SAMPLE documents, picked by a hash of the id, are the soft labels of a hashed linear scorer, which
-then scores every document.
+then scores every document. A document is kept if the mean of its posterior and its score is 0.5 or more.
 
 A null text is an empty one; a text without words gets no vote but that on its length. Repeated rows count each. An
 empty table gives no rows. Only id and text are read; further columns of any name pass by.
@@ -46,12 +46,12 @@ def votes(text: str | None) -> tuple[int, ...]:
     ends = len(_ENDS.findall(text)) / n
     return (
         -1 if symbols > 0.03 else int(symbols < 0.004),
-        -1 if upper > 0.2 else int(upper < 0.08),
+        0 if letters < 20 else -1 if upper > 0.2 else int(upper < 0.08),
         -1 if shouted > 0.1 else 0,
         -1 if repeated > 0.25 else int(repeated < 0.08),
         -1 if distinct < 0.25 else int(distinct > 0.4),
         -1 if ends < 0.01 and n > 30 else int(0.03 < ends < 0.5),
-        -1 if n < 4 or letters / chars < 0.5 else int(letters / chars > 0.72),
+        -1 if letters / chars < 0.5 else int(letters / chars > 0.72),
     )
 
 
@@ -131,7 +131,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
 
 
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """One row per row of docs: the id, posterior (of the votes), score (of the text) and keep (score of 0.5 or more)."""
+    """One row per row of docs: the id, posterior (of the votes), score (of the text) and keep."""
     posterior, w = learn(docs, sample, id_col, text_col)
     source = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
 
@@ -139,8 +139,9 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samp
         texts = [t or "" for t in batch.column(1).to_pylist()]
         z = features.margins(features.matrix([t.encode() for t in texts]), w)
         score = 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
-        weak = pa.array([posterior[pattern(t)] for t in texts], pa.float64())
-        return pa.RecordBatch.from_arrays([batch.column(0), weak, pa.array(score), pa.array(score >= 0.5)], ["key", "posterior", "score", "keep"])
+        weak = np.array([posterior[pattern(t)] for t in texts], np.float64)
+        columns = [batch.column(0), pa.array(weak), pa.array(score), pa.array(score + weak >= 1)]
+        return pa.RecordBatch.from_arrays(columns, ["key", "posterior", "score", "keep"])
 
     schema = f"key {source.schema['key'].dataType.simpleString()}, posterior double, score double, keep boolean"
     return arrow_map(source, run, schema).withColumnRenamed("key", id_col)
