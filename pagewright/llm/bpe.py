@@ -15,7 +15,7 @@ import heapq
 import json
 import re
 import sys
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -29,15 +29,19 @@ from .runtime import arrow_map
 
 NEVER = 1 << 40
 #: Words of a generation of a worker's memory; the words of the last generation are still found and move on.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 
 
 def _class(letter: str) -> str:
     """The code points of a general category's first letter, as ranges of a character class. The library's own tables
     say which they are (Unicode versions differ); the standard library's matcher is the faster one to run."""
-    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
-    runs = Split(Regex(rf"[^\p{{{letter}}}]+"), "removed").pre_tokenize_str("".join(map(chr, points)))
-    return "".join(f"\\U{points[a]:08x}-\\U{points[z - 1]:08x}" for _, (a, z) in runs if not a < 0xD800 < z)
+    out, splitter = [], Split(Regex(rf"[^\p{{{letter}}}]+"), "removed")
+    for start in range(0, sys.maxunicode + 1, 1 << 14):
+        if not 0xD800 <= start < 0xE000:
+            points = [c for c in range(start, start + (1 << 14)) if not 0xD800 <= c < 0xE000]
+            runs = splitter.pre_tokenize_str("".join(map(chr, points)))
+            out += [f"\\U{points[a]:08x}-\\U{points[z - 1]:08x}" for _, (a, z) in runs]
+    return "".join(out)
 
 
 def split_pattern() -> re.Pattern:
@@ -103,10 +107,13 @@ class ByteBpe:
         self.lengths = np.array([len(t) for t in self.token_bytes], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         self.all_bytes = np.frombuffer(b"".join(self.token_bytes), np.uint8)
-        self.pattern = split_pattern()
         self.cache: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
+    @cached_property
+    def pattern(self) -> re.Pattern:
+        return split_pattern()
+
     # Speculation
 
     def propose(self, word: bytes) -> list[int]:
@@ -250,18 +257,26 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of df: the id column (null stays null) and token_ids, an array of int (empty for null or '')."""
+def _flat(ids: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32()))
+
+
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """One row per row of df: the id column (null stays null) and token_ids, an array of int (empty for null or ''); with
+    decoded, also the text that these ids decode to, made by the same Python worker."""
     key = df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
     kind = key.schema["key"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = vocabulary(path).encode_batch(batch.column(1).to_pylist())
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-        flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["key", "token_ids"])
+        columns = {"key": batch.column(0), "token_ids": _flat(ids)}
+        if decoded:
+            columns["decoded"] = pa.array(vocabulary(path).decode_batch(ids), pa.string())
+        return pa.RecordBatch.from_pydict(columns)
 
-    return arrow_map(key, run, f"key {kind}, token_ids array<int>").withColumnRenamed("key", id_col)
+    out = arrow_map(key, run, f"key {kind}, token_ids array<int>" + ", decoded string" * decoded, rows=128)
+    return out.withColumnRenamed("key", id_col)
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
@@ -286,7 +301,7 @@ def ids_digest(ids: Column) -> Column:
 
 def round_trip(df: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text."""
-    both = decode(encode(df, path), path)
+    both = encode(df, path, decoded=True)
     ids = F.col("token_ids")
     return both.select(
         "doc_id",
