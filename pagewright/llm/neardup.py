@@ -1,8 +1,9 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A shingle of five words weighs its count in the text times 1 + ln(1 + N / df) / ln(1 + N), where df is the number of
-documents that hold a shingle of its hash bucket (IDF_BUCKETS buckets, counted over all documents: a table of fixed
-size). SAMPLES consistent weighted samples per text are banded, BANDS x ROWS; two texts meet if a band agrees (0.9992 of
+documents that hold it, counted exactly: documents are dealt to blocks, every block sends its distinct shingles and in how
+many of its documents they stand to PARTS that grow with the corpus, and gets back their counts over all documents. What
+a task holds depends on the sizes of a block and of a part only. SAMPLES consistent weighted samples per text are banded, BANDS x ROWS; two texts meet if a band agrees (0.9992 of
 pairs at a similarity of 0.8). Meetings are verified: links have a weighted Jaccard similarity of at least `least`.
 
 Texts of the same words are one node from the start. In each band's bucket, every node is verified against the bucket's
@@ -17,22 +18,25 @@ read; further columns of any name pass by.
 
 from __future__ import annotations
 
+import gc
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
 from .components import components
-from .runtime import arrow_map, keyed, lookup, written
+from .runtime import arrow_map, dropped, keyed, lookup, written
 
 LEAST = 0.8
 BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
-IDF_BUCKETS = 1 << 20
-_SLICES = 1024
+#: Characters of a block of documents, and at most so many documents; characters whose shingles make up a part, about.
+BLOCK_CHARS, BLOCK_ROWS, PART_CHARS = 2_000_000, 4096, 12_000_000
 #: Shingles with the same remainder share their random numbers.
 TABLE = 8192
 #: Pairs of one centre that are verified beside one copy of its text.
@@ -51,14 +55,38 @@ def _tables() -> np.ndarray:
 _made: list = []
 
 
-def bucket_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - (IDF_BUCKETS - 1).bit_length())).astype(np.int64)
+@dataclass
+class Frequencies:
+    """Shingles in order of their hashes, how many of the n documents hold each."""
 
+    found: np.ndarray
+    df: np.ndarray
+    n: int
 
-def weights(hashes: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, found: np.ndarray) -> np.ndarray:
+        if len(found) == len(self.found):
+            return self.df
+        return self.df[np.searchsorted(self.found, found)]
+
+
+def weights(hashes: np.ndarray, idf: Frequencies) -> tuple[np.ndarray, np.ndarray]:
     """A text's distinct shingles, in order of their hashes, and their weights."""
     found, counts = np.unique(hashes, return_counts=True)
-    return found, counts * idf[bucket_of(found)]
+    return found, counts * (1 + np.log1p(idf.n / idf.counts(found)) / np.log1p(idf.n))
+
+
+def packed(df: np.ndarray) -> bytes:
+    return zlib.compress(df.astype(np.uint32).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.uint32).astype(np.int64)
+
+
+def weights_of(words: np.ndarray, df: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of a text whose shingles' packed counts are df."""
+    hashes = shingles.shingle_hashes(words)
+    return weights(hashes, Frequencies(np.unique(hashes), unpacked(df), n))
 
 
 def shown(words: np.ndarray) -> str:
@@ -101,95 +129,155 @@ def bands(found: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """The weight factor of every bucket, from counts over all documents; tasks send slices of their counts."""
+def blocked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
+    """doc_id, text, row and block (of neighbouring rows) of every row, written; the number of rows and of parts."""
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    size = source.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    rows = max(1, min(BLOCK_ROWS, BLOCK_CHARS * size.n // max(size.chars, 1)))
+    source = source.withColumn("row", F.monotonically_increasing_id())
+    return written(source.withColumn("block", F.floor(F.col("row") / rows)), "blocks"), size.n, max(1, -(-size.chars // PART_CHARS))
+
+
+def _spaced(hashes: np.ndarray) -> bytes:
+    """Ascending hashes by their distances, the distances' equal bytes next to each other: what is 0 packs well."""
+    return np.diff(hashes, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unspaced(data: bytes) -> np.ndarray:
+    apart = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T)
+    return np.cumsum(apart.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+SENT = "block long, first long, part long, hashes binary, counts binary"
+
+
+def _sent(blocks: DataFrame, parts: int) -> DataFrame:
+    """For each block, the part's distinct shingles with their numbers of documents. Where a file is split within a block,
+    each of its runs of rows (from row `first` on) sends its own."""
+
+    def sent(block: int, first: int, each: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(each), return_counts=True)
+        # Parts are ranges of hashes.
+        part = ((found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        names, at = np.unique(part, return_index=True)
+        cuts = list(zip(at.tolist(), [*at[1:].tolist(), len(found)]))
+        hashes, numbers = [_spaced(found[i:j]) for i, j in cuts], [counts[i:j].astype(np.uint32).tobytes() for i, j in cuts]
+        same = [pa.array([x] * len(names), pa.int64()) for x in (block, first)]
+        return pa.RecordBatch.from_arrays([*same, pa.array(names, pa.int64()), pa.array(hashes, pa.binary()), pa.array(numbers, pa.binary())], ["block", "first", "part", "hashes", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(IDF_BUCKETS, np.uint32), 0
+        block, first, each = -1, -1, []
         for batch in batches:
-            for text in batch.column(0):
-                counts[np.unique(bucket_of(shingles.shingle_hashes(shingles.word_hashes(text.as_py()))))] += 1
-                n += 1
-        if n:
-            parts = [x.tobytes() for x in counts.reshape(_SLICES, -1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary()), pa.array([n] + [0] * (_SLICES - 1), pa.int64())], ["part", "counts", "n"])
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        docs: dict[int, int] = {}
-        for batch in batches:
-            for part, counts, n in zip(*batch.columns, strict=True):
-                part = part.as_py()
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_py(), np.uint32).astype(np.uint64)
-                docs[part] = docs.get(part, 0) + n.as_py()
-        cols = [pa.array(sums.keys(), pa.int32()), pa.array([x.astype(np.uint32).tobytes() for x in sums.values()], pa.binary()), pa.array(docs.values(), pa.int64())]
-        yield pa.RecordBatch.from_arrays(cols, ["part", "counts", "n"])
-
-    schema = "part int, counts binary, n long"
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, schema).repartition(32, "part").mapInArrow(total, schema).toArrow().sort_by("part")
-    if not found.num_rows:
-        return np.ones(IDF_BUCKETS)
-    df = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in found["counts"]]).astype(np.float64)
-    n = sum(found["n"].to_pylist())
-    return 1 + np.log1p(n / np.maximum(df, 1)) / np.log1p(n)
-
-
-def signatures(docs: DataFrame, idf, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, fp (of the words; null without words) and the band keys of every row."""
+            for text, row, own in zip(*batch.columns, strict=True):
+                if own.as_py() != block:
+                    if each:
+                        yield sent(block, first, each)
+                    block, first, each = own.as_py(), row.as_py(), []
+                each.append(np.unique(shingles.shingle_hashes(shingles.word_hashes(text.as_py()))))
+        if each:
+            yield sent(block, first, each)
+
+    return blocks.select("text", "row", "block").mapInArrow(run, SENT)
+
+
+def _added(sent: DataFrame) -> DataFrame:
+    """For each of the rows sent, how many documents of all blocks hold each of its shingles."""
+
+    def run(group: pa.Table) -> pa.Table:
+        hashes = [_unspaced(x.as_py()) for x in group["hashes"]]
+        counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in group["counts"]])
+        _, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        df = np.bincount(at, weights=counts).astype(np.int64)[at]
+        cuts = np.cumsum([len(h) for h in hashes])[:-1]
+        return group.select(["block", "first", "part"]).append_column("df", pa.array([packed(x) for x in np.split(df, cuts)], pa.binary()))
+
+    return sent.groupBy("part").applyInArrow(run, "block long, first long, part long, df binary")
+
+
+def document_counts(blocks: DataFrame, parts: int) -> DataFrame:
+    """block, first, part, df: how many documents hold the shingles of a block's run of rows, in order of their hashes."""
+    out = written(_added(_sent(blocks, parts)), "counts")
+    gc.collect()
+    blocks.sparkSession._jvm.System.gc()  # the shuffled shingles go before the texts are shuffled
+    return out
+
+
+def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> Frequencies:
+    """The counts of all shingles in one place, for tables that the driver can hold."""
+    blocks, n, parts = blocked(docs.select(F.lit(0).alias("__id"), F.col(text_col)), "__id", text_col)
+    sent = written(_sent(blocks, parts), "sent")
+    rows = sent.join(_added(sent), ["block", "first", "part"]).select("hashes", "df").collect()
+    found = np.concatenate([_unspaced(r.hashes) for r in rows] or [np.empty(0, np.uint64)])
+    df = np.concatenate([unpacked(r.df) for r in rows] or [np.empty(0, np.int64)])
+    found, at = np.unique(found, return_index=True)
+    return Frequencies(found, df[at], n)
+
+
+def signatures(blocks: DataFrame, counts: DataFrame, n: int) -> DataFrame:
+    """doc_id, fp (of the words; null without words), df (the packed counts of its shingles) and the band keys of every row."""
     names = [f"b{i}" for i in range(BANDS)]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps, keys = [], np.zeros((batch.num_rows, BANDS), np.int64)
-        for i, text in enumerate(batch.column(1)):
-            words = shingles.word_hashes(text.as_py())
-            fps.append(shown(words) if len(words) else None)
-            if len(words):
-                keys[i] = bands(*weights(shingles.shingle_hashes(words), idf.value))
+    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        texts, counts = texts.sort_by("row"), counts.sort_by([("first", "ascending"), ("part", "ascending")])
+        words = [shingles.word_hashes(t) for t in texts["text"].to_pylist()]
+        firsts, at = np.unique(counts["first"].to_numpy(), return_index=True)
+        own = np.maximum(np.searchsorted(firsts, texts["row"].to_numpy(), "right") - 1, 0).tolist()
+        df, cuts = counts["df"].to_pylist(), [*at.tolist(), counts.num_rows]
+        fps, dfs, keys = [None] * len(words), [None] * len(words), np.zeros((len(words), BANDS), np.int64)
+        for k in range(len(firsts)):
+            hashes = {i: shingles.shingle_hashes(w) for i, w in enumerate(words) if own[i] == k and len(w)}
+            known = np.concatenate([unpacked(x) for x in df[cuts[k] : cuts[k + 1]]])
+            every = Frequencies(np.unique(np.concatenate(list(hashes.values()))), known, n)
+            assert len(every.found) == len(known)
+            for i, h in hashes.items():
+                found, weight = weights(h, every)
+                fps[i], dfs[i], keys[i] = shown(words[i]), packed(every.counts(found)), bands(found, weight)
         cols = [pa.array(np.ascontiguousarray(c)) for c in keys.T]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.string()), *cols], ["doc_id", "fp", *names])
+        return pa.Table.from_arrays([texts["doc_id"], pa.array(fps, pa.string()), pa.array(dfs, pa.binary()), *cols], ["doc_id", "fp", "df", *names])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return arrow_map(source, run, "doc_id long, fp string, " + ", ".join(f"{b} long" for b in names))
+    both = blocks.groupBy("block").cogroup(counts.groupBy("block"))
+    return both.applyInArrow(run, "doc_id long, fp string, df binary, " + ", ".join(f"{b} long" for b in names))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, idf, least: float, id_col: str, text_col: str) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least: float, id_col: str, text_col: str) -> DataFrame:
     """The links (u, v) among pairs (u, u_fp, v, v_fp) whose texts are similar enough; one v may have very many u."""
-    spark = pairs.sparkSession
     pairs = written(pairs, "pairs")
     counts = pairs.groupBy("v").agg(F.count("*").alias("n"))
     counted = lookup(pairs, "v", counts.withColumn("parts", F.ceil(F.col("n") / PER_CENTRE)), "n", F.col("u"))
     counted = counted.withColumn("salt", F.pmod(F.xxhash64("u"), F.col("parts")))
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = written(keyed(texts, "id", ids, "left_semi"), "texts")
-    left = counted.join(texts.select(F.col("id").alias("u"), F.col("text").alias("u_text")), "u")
+    texts = keyed(texts, "id", ids, "left_semi").join(nodes.select(F.col("node").alias("id"), "fp", "df"), "id")
+    texts = written(texts, "texts")
+    of = lambda x: texts.select(F.col("id").alias(x), F.col("fp").alias(f"{x}_fp"), F.struct("text", "df").alias(f"{x}_text"))
+    left = counted.join(of("u"), ["u", "u_fp"])
     parts = counts.select("v", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / PER_CENTRE) - 1)).alias("salt"))
-    right = parts.join(texts.select(F.col("id").alias("v"), F.col("text").alias("v_text")), "v")
-    both = left.join(right, ["v", "salt"]).select("u", "u_fp", "u_text", "v", "v_fp", "v_text")
+    right = parts.join(of("v"), "v")
+    both = left.join(right, ["v", "v_fp", "salt"]).select("u", "u_fp", "u_text", "v", "v_fp", "v_text")
+    both = both.where("u_text.text IS NOT NULL AND v_text.text IS NOT NULL")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keep, known = [], {}
 
-        def of(text: str):
-            if text not in known:
+        def of(text: str, fp: str, df: bytes):
+            if (text, fp) not in known:
                 if len(known) > 8:
                     known.clear()
                 words = shingles.word_hashes(text)
-                known[text] = (shown(words), weights(shingles.shingle_hashes(words), idf.value))
-            return known[text]
+                known[text, fp] = weights_of(words, df, n) if fp == shown(words) else None
+            return known[text, fp]
 
         for i in range(batch.num_rows):
-            (fp_u, u), (fp_v, v) = of(batch.column(2)[i].as_py()), of(batch.column(5)[i].as_py())
-            if fp_u == batch.column(1)[i].as_py() and fp_v == batch.column(4)[i].as_py() and similarity(u, v) >= least:
+            u, v = (of(batch.column(c + 1)[i]["text"].as_py(), batch.column(c)[i].as_py(), batch.column(c + 1)[i]["df"].as_py()) for c in (1, 4))
+            if u is not None and v is not None and similarity(u, v) >= least:
                 keep.append(i)
         at = pa.array(keep, pa.int64())
         return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(3).take(at)], ["u", "v"])
 
-    assert spark is not None
-    return written(arrow_map(both.where("u_text IS NOT NULL AND v_text IS NOT NULL"), run, "u long, v long"), "links")
+    return written(arrow_map(both, run, "u long, v long"), "links")
 
 
-def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: float, id_col: str, text_col: str) -> DataFrame:
+def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least: float, id_col: str, text_col: str) -> DataFrame:
     """Links (u, v) between components that share a bucket: one for each node outside the bucket's main component and
     each component it is linked to there.
 
@@ -198,19 +286,19 @@ def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: floa
     """
     source = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     texts = keyed(source, "node", open_.select("node").distinct(), "left_semi")
-    texts = written(texts.join(nodes.select("node", F.array(*[f"b{i}" for i in range(BANDS)]).alias("keys")), "node"), "texts")
+    texts = written(texts.join(nodes.select("node", "fp", "df", F.array(*[f"b{i}" for i in range(BANDS)]).alias("keys")), "node"), "texts")
     parts = lambda n: F.greatest(F.ceil(F.col(n) / CHUNK), F.lit(1)).cast("long")
-    of = lambda n: F.pmod(F.xxhash64("node"), parts(n))
+    dealt = lambda n: F.pmod(F.xxhash64("node"), parts(n))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), parts(n) - 1))
-    whole = open_.join(texts, "node")
-    left = whole.where("label <> main").select("key", of("others").alias("x"), each("n").alias("y"), F.lit(True).alias("outer"), "node", "fp", "label", "keys", "text")
-    right = whole.select("key", each("others").alias("x"), of("n").alias("y"), F.lit(False).alias("outer"), "node", "fp", "label", "keys", "text")
+    whole = open_.join(texts, ["node", "fp"])
+    left = whole.where("label <> main").select("key", dealt("others").alias("x"), each("n").alias("y"), F.lit(True).alias("outer"), "node", "fp", "label", "keys", "text", "df")
+    right = whole.select("key", each("others").alias("x"), dealt("n").alias("y"), F.lit(False).alias("outer"), "node", "fp", "label", "keys", "text", "df")
 
     def compare(group: pa.Table) -> pa.Table:
         key, rows, outer = group["key"][0].as_py(), [], group["outer"].to_pylist()
-        for fp, text in zip(group["fp"].to_pylist(), group["text"].to_pylist(), strict=True):
+        for fp, text, df in zip(*(group[c].to_pylist() for c in ("fp", "text", "df")), strict=True):
             words = shingles.word_hashes(text)
-            rows.append(weights(shingles.shingle_hashes(words), idf.value) if fp == shown(words) else None)
+            rows.append(weights_of(words, df, n) if fp == shown(words) else None)
         label, node = group["label"].to_numpy(), group["node"].to_numpy()
         keys = np.array(group["keys"].to_pylist(), np.int64).reshape(-1, BANDS)
         inner = [i for i, r in enumerate(rows) if r is not None and not outer[i]]
@@ -244,18 +332,20 @@ def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, idf, least: floa
 
 def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and class_id of every row."""
-    spark: SparkSession = docs.sparkSession
-    idf = spark.sparkContext.broadcast(inverse_frequencies(docs, text_col))
-    rows = written(signatures(docs, idf, id_col, text_col), "signatures")
+    blocks, n, parts = blocked(docs, id_col, text_col)
+    counts = document_counts(blocks, parts)
+    rows = written(signatures(blocks, counts, n), "signatures")
+    dropped(blocks)
+    dropped(counts)
     names = [f"b{i}" for i in range(BANDS)]
     nodes = rows.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp")
-    nodes = written(nodes.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), *[F.first(b).alias(b) for b in names]), "nodes")
+    nodes = written(nodes.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("df").alias("df"), *[F.first(b).alias(b) for b in names]), "nodes")
     members = nodes.select("node", "fp", "copies", F.explode(F.array(*names)).alias("key"))
     best = F.max_by(F.struct("node", "fp"), F.struct("copies", -F.col("node"))).alias("centre")
     centres = members.groupBy("key").agg(best, F.count("*").alias("n")).where("n > 1")
     members = written(lookup(members, "key", centres, "n", F.col("node")).where("centre IS NOT NULL"), "members")
     pairs = members.where("node <> centre.node").select(F.col("node").alias("u"), F.col("fp").alias("u_fp"), F.col("centre.node").alias("v"), F.col("centre.fp").alias("v_fp"))
-    links = verified(pairs.distinct(), docs, idf, least, id_col, text_col)
+    links = verified(pairs.distinct(), nodes, docs, n, least, id_col, text_col)
     label = components(links)
 
     # Buckets that hold several components: all pairs across them, but for those within the largest one.
@@ -267,7 +357,7 @@ def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_
     open_ = written(lookup(labelled, "key", weighed, "rows", F.col("node")).where("main IS NOT NULL"), "open")
     if not open_.isEmpty():
         known = label.select(F.col("node").alias("u"), F.col("label").alias("v"))
-        label = components(known.union(across(open_, nodes, docs, idf, least, id_col, text_col)))
+        label = components(known.union(across(open_, nodes, docs, n, least, id_col, text_col)))
     named = nodes.join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("class_id"), "copies")
     out = lookup(rows.select("doc_id", "fp"), "fp", named, "copies", F.col("doc_id"))
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))

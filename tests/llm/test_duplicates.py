@@ -85,6 +85,19 @@ def test_near_duplicates_repeated_rows(spark):
     assert got == [(0, 1), (1, 1), (1, 1), (2, 1), (3, 3)]
 
 
+def test_document_counts_are_exact(spark):
+    """However many other shingles there are: one held by one document weighs 2."""
+    r = random.Random(5)
+    docs = [(i, " ".join(f"z{r.getrandbits(60)}" for _ in range(3000)) + " by all of these texts") for i in range(700)] + [(900, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    idf = neardup.inverse_frequencies(df)
+    found, weight = neardup.weights(shingles.shingle_hashes(shingles.word_hashes(docs[3][1])), idf)
+    last = shingles.shingle_hashes(shingles.word_hashes("by all of these texts"))[0]
+    assert len(idf.found) > 2 * 10**6 and np.allclose(weight[found != last], 2.0)
+    assert np.isclose(weight[found == last], 1 + math.log1p(701 / 700) / math.log1p(701))
+    assert {x.class_id for x in neardup.classes(df.limit(20)).collect()} <= {i for i, _ in docs}
+
+
 def test_bands_meet():
     """Texts at a similarity of 0.8 nearly always share a band."""
     r = np.random.default_rng(3)
