@@ -193,6 +193,17 @@ def test_decontamination(spark):
     assert decontaminate.matches(df.limit(0), bench).count() == 0 and decontaminate.matches(df, bench.limit(0)).count() == 0
 
 
+def test_shared_prompt_is_no_leak(spark):
+    """What all of many items share weighs ln 2, not more."""
+    r = random.Random(12)
+    text = lambda n: " ".join(f"q{r.getrandbits(50)}" for _ in range(n))
+    prompt = text(100)
+    items = [(i, f"{prompt} {text(8)}") for i in range(100)]
+    docs = [(1, f"{prompt} {text(8)}"), (2, items[7][1]), (3, text(80))]
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == {(2, 7)} == set(brute_leaks(docs, items))
+
+
 def test_radius_guarantee(one):
     """Every fingerprint within the radius shares an entry; a farther one needn't."""
     r = random.Random(11)
