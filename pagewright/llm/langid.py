@@ -75,9 +75,10 @@ class Model:
             return [UNKNOWN] * len(x), np.zeros(len(x))
         fam = features.margins(x, self.family_weights.T) if len(self.families) > 1 else np.zeros((len(x), 1))
         p = 1 / (1 + np.exp(-3 * fam))
-        p /= p.sum(axis=1, keepdims=True)
         best = p.argmax(axis=1)
-        out, score = [""] * len(x), p[np.arange(len(x)), best]
+        # Against the runner-up only: a sum over all families would shrink the score with their number.
+        top = np.sort(p, axis=1)[:, -2:]
+        out, score = [""] * len(x), top[:, -1] / top.sum(axis=1)
         for n, family in enumerate(self.families):
             rows = np.flatnonzero(best == n)
             langs = self.languages[family]

@@ -31,6 +31,23 @@ def test_language_odd_rows(spark):
     assert langid.identified(df.limit(0)).count() == 0
 
 
+def test_score_with_many_families():
+    """Sure texts keep a high score among dozens of families."""
+    r = np.random.default_rng(4)
+    texts, langs = [], []
+    for k in range(40):
+        words = ["".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(25)]
+        for _ in range(12):
+            texts.append(" ".join(r.choice(words, 40)).encode())
+            langs.append(f"x{k}")
+    x = langid.features.matrix(texts)
+    learned = np.arange(len(x)) % 3 > 0
+    model = langid.fit(x[learned], [n for n, keep in zip(langs, learned, strict=True) if keep])
+    got, score = model.predict(x[~learned])
+    assert got == [n for n, keep in zip(langs, learned, strict=True) if not keep]
+    assert (score >= langid.LEAST_SCORE).all() and score.mean() > 0.6 and score.max() <= 1
+
+
 def test_estimate():
     """Labellers of known accuracy: the posteriors find the hidden classes and better labellers weigh more."""
     r = np.random.default_rng(1)
