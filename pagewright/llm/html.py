@@ -31,7 +31,12 @@ PAGES = 500
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp noembed svg math object".split())
+RAW = frozenset("script style textarea title iframe template xmp noembed".split())
+#: Nodes of their own that stand within lines; what is in svg and math may close itself.
+EMBEDDED = frozenset("svg math object noscript".split())
+_HTML_WITHIN = frozenset("foreignobject desc annotation-xml mtext".split())
+_CLOSED = re.compile(r"(?<!=)/\Z")
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+\Z")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split()
 )
@@ -93,6 +98,16 @@ class Page:
     runs: list[tuple[int, int, bool, str]] = field(default_factory=list)
 
 
+def _foreign(stack: list[tuple[str, int]]) -> bool:
+    """Whether an element here belongs to SVG or MathML."""
+    for name, _ in reversed(stack):
+        if name in _HTML_WITHIN:
+            return False
+        if name in ("svg", "math"):
+            return True
+    return False
+
+
 def parse(html: str) -> Page:
     page = Page()
     parent, tags, tokens, marked, runs = page.parent, page.tag, page.tokens, page.marked, page.runs
@@ -121,25 +136,32 @@ def parse(html: str) -> Page:
                 while True:
                     top = stack.pop()[0]
                     links -= top == "a"
-                    if top not in INLINE:
+                    if top not in INLINE and top not in EMBEDDED and not _foreign(stack):
                         block += 1
                     if top == name:
                         break
             continue
-        if name in RAW:
+        attrs = m["attrs"]
+        foreign = _foreign(stack)
+        if foreign and name in _GROUP and name != "a":  # HTML's blocks end what is left open of SVG and MathML
+            while _foreign(stack):
+                links -= stack.pop()[0] == "a"
+            foreign = False
+        if (foreign or name in ("svg", "math")) and _CLOSED.search(attrs) and not _UNQUOTED.search(attrs):
+            continue
+        if name in RAW and (not foreign or name in ("script", "style")):
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
             at = close.end()
             if name not in INLINE:
                 block += 1
             continue
-        attrs = m["attrs"]
-        if name in INLINE:
+        if name in INLINE or name in EMBEDDED or foreign:
             if name == "br":
                 runs.append((stack[-1][1], block, False, " "))
             if name in VOID:
                 continue
             owner = stack[-1][1]
-            if name == "label" or (attrs and attribute_tokens(attrs)):
+            if name == "label" or name in EMBEDDED or (attrs and attribute_tokens(attrs)):
                 parent.append(owner)
                 tags.append(name)
                 tokens.append(attribute_tokens(attrs))
@@ -166,7 +188,7 @@ def parse(html: str) -> Page:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == "p":
                     cut = i
-                if stack[i][0] not in INLINE:
+                if stack[i][0] not in INLINE and stack[i][0] != "noscript":
                     break
         links -= sum(x[0] == "a" for x in stack[cut:])
         del stack[cut:]

@@ -93,6 +93,15 @@ def test_parse():
     assert html.rendered(deep, [True] * len(deep.parent)) == "x"
 
 
+def test_parse_embedded():
+    """SVG, MathML and fallbacks are nodes like others; a closed one skips nothing."""
+    p = html.parse('<p>a <svg class="i"/>b <math><mi>x</mi><mo>=</mo><mn>1</mn></math> c</p><math/><object>d</object><noscript><p>e</p></noscript><svg><path d="m"/><text>f</text></svg><p>g')
+    assert html.rendered(p, [True] * len(p.parent)).replace("\n", " ") == "a b x=1 c d e f g"
+    open_ = html.parse("<article><svg><path><p>h</p></article>")
+    assert open_.tag[open_.runs[0][0]] == "p"
+    assert {"math", "object", "noscript", "svg"} <= set(p.tag)
+
+
 def test_decode_keeps_no_child_of_a_dropped_node():
     p = html.parse("<div><p>a</p></div><div><p>b</p></div>")
     odds = np.array([1.0, -5.0, 2.0, 1.0, 3.0])
