@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -38,11 +39,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pagewright/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def short_plans(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile the driver keeps only the first part of a plan's description: those with large literals fill its memory."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, read back: lineage ends here and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with short_plans(spark):
+        df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # Spark deletes finished stages' shuffle files when the driver's heap is swept
     return spark.read.schema(df.schema).parquet(path)
 

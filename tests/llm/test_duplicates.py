@@ -215,3 +215,28 @@ def test_radius_guarantee(one):
         entries = set(one(decontaminate._entries(F.lit(a))))
         keys = {one(decontaminate._block(F.lit(b), k)) + k * 256 for k in range(decontaminate.BLOCKS)}
         assert entries & keys
+
+
+def test_rows_that_share_an_id_keep_their_own_lines(spark):
+    rows = [(1, "p q r s"), (2, "p q r s"), (2, "a wholly different line"), (None, "p q r s"), (3, "a wholly\na wholly different line")]
+    got = sorted((r.doc_id or 0, r.text, r.n_removed, r.n_repeats) for r in linededup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, "p q r s", 0, 0), (1, "p q r s", 0, 0), (2, "", 1, 1), (2, "a wholly different line", 0, 0), (3, "a wholly", 1, 1)]
+
+
+def test_a_very_common_token(spark):
+    """More lines than FREQUENT tokens count hold it; sizes in neighbouring classes still meet."""
+    r = random.Random(15)
+    lines = [f"the the{i} it{i} was{i}" + " and" * (i % 2) for i in range(17000)]
+    near = ["the a b c d e f g h i", "the a b c d e f g h i j", "the a b c d e f g h", "the a b c d e f z y x"]
+    docs = [(i, "\n".join(lines[170 * i : 170 * (i + 1)])) for i in range(100)] + [(200 + i, x) for i, x in enumerate(near)]
+    r.shuffle(docs)
+    got = {x.doc_id: x.n_removed for x in linededup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).where("n_removed > 0").collect()}
+    assert got == {201: 1, 202: 1}
+
+
+def test_many_lines(spark):
+    """One text of very many lines takes time in proportion."""
+    own = [f"u{i} v{i} w{i}" for i in range(60000)]
+    docs = [(1, "\n".join(own[::2])), (2, "\n".join(own))]
+    got = {x.doc_id: x.text for x in linededup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 2: "\n".join(own[1::2])}
