@@ -64,11 +64,8 @@ TOKENS = [frozenset(t.split()) for t in (
 )]
 _TOKEN = {w: n for n, g in enumerate(TOKENS) for w in g}
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"[^\s/>]*")
+_SPECIAL = re.compile(r"[>\"']")
 _NAMED = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 MARK = "data-main-text"
@@ -98,69 +95,144 @@ class Page:
     runs: list[tuple[int, int, bool, str]] = field(default_factory=list)
 
 
-def _foreign(stack: list[tuple[str, int]]) -> bool:
-    """Whether an element here belongs to SVG or MathML."""
-    for name, _ in reversed(stack):
-        if name in _HTML_WITHIN:
-            return False
-        if name in ("svg", "math"):
-            return True
-    return False
+class _Scanner:
+    """Markup one piece after the other, in time proportional to the page."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {c: html.rfind(c) for c in ">\"'"}
+        #: Quotes from which on no tag ends.
+        self.open: set[int] = set()
+
+    def tag_end(self, at: int) -> int:
+        """The > that ends a tag whose attributes begin at `at`: the next one outside of quotes, or else the next one; -1
+        without any."""
+        html, seen, here = self.html, [], at
+        while here <= self.last[">"]:
+            quote = _SPECIAL.search(html, here).start()
+            if html[quote] == ">":
+                return quote
+            if quote in self.open:
+                break
+            seen.append(quote)
+            if self.last[html[quote]] == quote:
+                break
+            here = html.find(html[quote], quote + 1) + 1
+        self.open.update(seen)
+        return html.find(">", at) if at <= self.last[">"] else -1
+
+    def pieces(self):
+        """(text before, kind, name, attributes, where the next piece begins); send() a place to go on from there. The
+        kinds are start, end, data (CDATA, as name), other and, at last, rest."""
+        html, text = self.html, 0
+        at = html.find("<")
+        while at >= 0:
+            kind, name, attrs, end = "", "", "", -1
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                kind, end = "other", end + 3 if end >= 0 else len(html)
+            elif html.startswith("<![CDATA[", at):
+                end = html.find("]]>", at)
+                kind, name, end = "data", html[at + 9 : end if end >= 0 else len(html)], end + 3 if end >= 0 else len(html)
+            elif html.startswith(("<!", "<?"), at):
+                end = html.find(">", at) + 1 if at < self.last[">"] else 0
+                kind = "other" if end else ""
+            else:
+                start = at + 1 + html.startswith("/", at + 1)
+                if html[start : start + 1].isascii() and html[start : start + 1].isalpha():
+                    named = _NAME.match(html, start).end()
+                    stop = self.tag_end(named)
+                    if stop >= 0:
+                        kind, name, attrs, end = "end" if start > at + 1 else "start", html[start:named].lower(), html[named:stop], stop + 1
+            if kind:
+                to = yield html[text:at], kind, name, attrs, end
+                text = end if to is None else to
+                if to is not None:
+                    yield
+                at = html.find("<", text)
+            else:
+                at = html.find("<", at + 1)
+        yield html[text:], "rest", "", "", len(html)
+
+
+class _Stack:
+    """Open elements: (name, node that owns text in it, whether what is in it belongs to SVG or MathML)."""
+
+    def __init__(self):
+        self.rows: list[tuple[str, int, bool]] = []
+        #: Where elements of each name stand, and those that aren't inline.
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.push("html", 0)
+
+    def push(self, name: str, owner: int) -> None:
+        foreign = name not in _HTML_WITHIN and (name in ("svg", "math") or bool(self.rows) and self.foreign)
+        self.at.setdefault(name, []).append(len(self.rows))
+        if name not in INLINE and name != "noscript":
+            self.blocks.append(len(self.rows))
+        self.rows.append((name, owner, foreign))
+
+    def pop(self) -> str:
+        name = self.rows.pop()[0]
+        self.at[name].pop()
+        if self.blocks and self.blocks[-1] == len(self.rows):
+            self.blocks.pop()
+        return name
+
+    @property
+    def owner(self) -> int:
+        return self.rows[-1][1]
+
+    @property
+    def foreign(self) -> bool:
+        return self.rows[-1][2]
+
+    def nearest(self, names) -> int:
+        """The innermost element with one of the names, -1 without any."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
 
 
 def parse(html: str) -> Page:
-    page = Page()
+    page, stack = Page(), _Stack()
     parent, tags, tokens, marked, runs = page.parent, page.tag, page.tokens, page.marked, page.runs
-    # Open elements: (name, node that owns text in it).
-    stack: list[tuple[str, int]] = [("html", 0)]
-    block, links, at, size = 0, 0, 0, len(html)
-    search = _TAG.search
-    while at < size:
-        m = search(html, at)
-        if m is None:
-            runs.append((stack[-1][1], block, links > 0, unescape(html[at:])))
-            break
-        if m.start() > at:
-            runs.append((stack[-1][1], block, links > 0, unescape(html[at : m.start()])))
-        at = m.end()
-        name = m["name"]
-        if name is None:
-            if m["cdata"]:
-                runs.append((stack[-1][1], block, links > 0, m["cdata"]))
-            continue
-        name = name.lower()
-        if m["end"]:
+    block, links, bodies = 0, 0, 0
+    pieces = _Scanner(html).pieces()
+    for text, kind, name, attrs, end in pieces:
+        if text:
+            runs.append((stack.owner, block, links > 0, unescape(text)))
+        if kind == "data" and name:
+            runs.append((stack.owner, block, links > 0, name))
+        if kind == "end":
             if name == "br":
-                runs.append((stack[-1][1], block, False, " "))
-            if any(x[0] == name for x in reversed(stack[1:])):
+                runs.append((stack.owner, block, False, " "))
+            if stack.nearest((name,)) > 0:
                 while True:
-                    top = stack.pop()[0]
+                    top = stack.pop()
                     links -= top == "a"
-                    if top not in INLINE and top not in EMBEDDED and not _foreign(stack):
+                    if top not in INLINE and top not in EMBEDDED and not stack.foreign:
                         block += 1
                     if top == name:
                         break
+        if kind != "start":
             continue
-        attrs = m["attrs"]
-        foreign = _foreign(stack)
+        foreign = stack.foreign
         if foreign and name in _GROUP and name != "a":  # HTML's blocks end what is left open of SVG and MathML
-            while _foreign(stack):
-                links -= stack.pop()[0] == "a"
+            while stack.foreign:
+                links -= stack.pop() == "a"
             foreign = False
         if (foreign or name in ("svg", "math")) and _CLOSED.search(attrs) and not _UNQUOTED.search(attrs):
             continue
         if name in RAW and (not foreign or name in ("script", "style")):
-            close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(html, at)
-            at = close.end()
+            pieces.send(re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(html, end).end())
             if name not in INLINE:
                 block += 1
             continue
         if name in INLINE or name in EMBEDDED or foreign:
             if name == "br":
-                runs.append((stack[-1][1], block, False, " "))
+                runs.append((stack.owner, block, False, " "))
             if name in VOID:
                 continue
-            owner = stack[-1][1]
+            owner = stack.owner
             if name == "label" or name in EMBEDDED or (attrs and attribute_tokens(attrs)):
                 parent.append(owner)
                 tags.append(name)
@@ -168,35 +240,27 @@ def parse(html: str) -> Page:
                 marked.append(MARK in attrs)
                 owner = len(parent) - 1
             links += name == "a"
-            stack.append((name, owner))
+            stack.push(name, owner)
             continue
         block += 1
         if name in VOID:
             continue
-        if name in ("html", "body") and any(x == name for x in tags[1:3] if name == "body"):
+        if bodies and name in ("html", "body"):
             continue
+        bodies += name == "body"
         # Implied ends: of a paragraph by a block, of an item by the next one.
-        cut = len(stack)
         if name in _STOP:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in _STOP[name]:
-                    break
-                if stack[i][0] in _SAME[name]:
-                    cut = i
-                    break
+            cut = stack.nearest(_SAME[name])
+            cut = cut if cut > stack.nearest(_STOP[name]) else -1
         else:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    cut = i
-                if stack[i][0] not in INLINE and stack[i][0] != "noscript":
-                    break
-        links -= sum(x[0] == "a" for x in stack[cut:])
-        del stack[cut:]
-        parent.append(stack[-1][1])
+            cut = stack.blocks[-1] if stack.rows[stack.blocks[-1]][0] == "p" else -1
+        while 0 < cut < len(stack.rows):
+            links -= stack.pop() == "a"
+        parent.append(stack.owner)
         tags.append(name)
         tokens.append(attribute_tokens(attrs) if attrs else 0)
         marked.append(MARK in attrs if attrs else False)
-        stack.append((name, len(parent) - 1))
+        stack.push(name, len(parent) - 1)
     return page
 
 
@@ -214,7 +278,7 @@ def node_features(page: Page) -> np.ndarray:
     seen = 0
     for node, _, link, text in page.runs:
         size = len(text)
-        if size < 64 and not text.strip():
+        if not text or text.isspace():
             continue
         own[node] += size
         if link:
@@ -399,6 +463,8 @@ class _Maker:
         return self.el("div", inside)
 
     def page(self) -> str:
+        if self.r.random() < 0.04:  # nothing around the article
+            return self.pick("", "<body>", "<html><body>") + "".join(self.part() for _ in range(self.pick(1, 1, 2, 4)))
         before = [f for f, p in ((self.header, 0.5), (self.nav, 0.75), (self.notice, 0.25), (self.ad, 0.5), (self.form, 0.15), (self.side, 0.15)) if self.r.random() < p]
         after = [f for f, p in ((self.comments, 0.35), (self.side, 0.35), (self.ad, 0.3), (self.form, 0.15), (self.nav, 0.1), (self.footer, 0.8), (self.notice, 0.1)) if self.r.random() < p]
         if self.r.random() < 0.3:

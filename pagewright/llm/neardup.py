@@ -9,7 +9,8 @@ pairs at a similarity of 0.8). Meetings are verified: links have a weighted Jacc
 Texts of the same words are one node from the start. In each band's bucket, every node is verified against the bucket's
 centre (the text with most copies), so a bucket of any size takes as many verifications as it has nodes. Where that
 leaves a bucket in several components, the nodes outside the largest one are compared with all nodes of the other ones,
-chunk by chunk: pairs within a component can't change the classes. A class is a connected component; its id is the least doc_id.
+chunk by chunk, first by their samples (SHARED of them must agree), then by their texts: pairs within a component can't
+change the classes. A class is a connected component; its id is the least doc_id.
 
 Nulls and texts without words are in no class but their own. Rows sharing a doc_id are the same document. A null doc_id
 gives a null class. Texts of fewer than five words are one shingle. An empty table gives no rows. Only id and text are
@@ -37,22 +38,30 @@ BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 #: Characters of a block of documents, and at most so many documents; characters whose shingles make up a part, about.
 BLOCK_CHARS, BLOCK_ROWS, PART_CHARS = 2_000_000, 4096, 12_000_000
-#: Shingles with the same remainder share their random numbers.
-TABLE = 8192
 #: Pairs of one centre that are verified beside one copy of its text.
 PER_CENTRE = 200
 #: Nodes of a bucket that are compared with as many others in one task, about.
 CHUNK = 512
+#: The same for their samples, without texts; and how many of the SAMPLES a pair must share for its texts to be compared:
+#: of pairs at a similarity of 0.8, 995 of 1000 do.
+WIDE_CHUNK, SHARED = 4096, 19
 
 
-def _tables() -> np.ndarray:
-    """beta, 1/r, r and ln c - r of consistent weighted sampling: TABLE rows of 4 x SAMPLES."""
-    g = np.random.default_rng(77)
-    r, c = g.gamma(2, 1, (TABLE, SAMPLES)), g.gamma(2, 1, (TABLE, SAMPLES))
-    return np.hstack([g.random((TABLE, SAMPLES)), 1 / r, r, np.log(c) - r]).astype(np.float32)
+def _quantiles() -> np.ndarray:
+    """Of the gamma distribution of shape 2, at 2^16 places."""
+    at = (np.arange(1 << 16) + 0.5) / (1 << 16)
+    x = np.maximum(-np.log(1 - at), np.sqrt(2 * at))
+    for _ in range(60):  # Newton's method
+        x -= (1 - (1 + x) * np.exp(-x) - at) / (x * np.exp(-x))
+        x = np.maximum(x, 1e-6)
+    return x
 
 
-_made: list = []
+_GAMMA = _quantiles()
+_R, _LN_C = _GAMMA.astype(np.float32), np.log(_GAMMA).astype(np.float32)
+_BETA = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
+#: One odd factor a sample: a shingle's own random numbers are the upper bits of the product with its hash.
+_FACTORS = np.random.default_rng(77).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 @dataclass
@@ -102,27 +111,32 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return low / high if high else 0.0
 
 
-def bands(found: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """BANDS keys of a text with at least one shingle."""
-    if not _made:
-        _made.append(_tables())
+def samples(found: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The consistent weighted samples of a text with at least one shingle, as SAMPLES hashes. Every shingle draws r, c and
+    beta from its own hash."""
     n = SAMPLES
     best = np.full(n, np.inf, np.float32)
     shingle, level = np.zeros(n, np.uint64), np.zeros(n, np.int64)
     every = np.arange(n)
-    for at in range(0, len(found), 2048):
-        part, log_w = found[at : at + 2048], np.log(weight[at : at + 2048]).astype(np.float32)
-        rows = _made[0][(part & np.uint64(TABLE - 1)).astype(np.int64)]
-        t = log_w[:, None] * rows[:, n : 2 * n]
-        t += rows[:, :n]
-        np.floor(t, out=t)
-        value = (rows[:, :n] - t) * rows[:, 2 * n : 3 * n]
-        value += rows[:, 3 * n :]
-        first = value.argmin(axis=0)
-        low = value[first, every]
+    for at in range(0, len(found), 1024):
+        part, log_w = found[at : at + 1024], np.log(weight[at : at + 1024]).astype(np.float32)
+        draws = (part[:, None] * _FACTORS).view(np.uint16).reshape(len(part), n, 4)
+        r, beta = _R.take(draws[..., 3]), _BETA.take(draws[..., 1])
+        t = np.floor(log_w[:, None] / r + beta)
+        beta -= t
+        beta -= 1
+        beta *= r
+        beta += _LN_C.take(draws[..., 2])
+        first = beta.argmin(axis=0)
+        low = beta[first, every]
         less = low < best
         best[less], shingle[less], level[less] = low[less], part[first[less]], t[first, every][less].astype(np.int64)
-    one = shingles.mixed(shingle + shingles.mixed(level.astype(np.uint64))).reshape(BANDS, ROWS)
+    return shingles.mixed(shingle + shingles.mixed(level.astype(np.uint64)))
+
+
+def bands(drawn: np.ndarray) -> np.ndarray:
+    """BANDS keys of a text's samples."""
+    one = drawn.reshape(BANDS, ROWS)
     out = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
         out = shingles.mixed(out * np.uint64(31) + one[:, k])
@@ -214,7 +228,8 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> Frequencies:
 
 
 def signatures(blocks: DataFrame, counts: DataFrame, n: int) -> DataFrame:
-    """doc_id, fp (of the words; null without words), df (the packed counts of its shingles) and the band keys of every row."""
+    """doc_id, fp (of the words; null without words), df (the packed counts of its shingles), drawn (32 bits of each sample)
+    and the band keys of every row."""
     names = [f"b{i}" for i in range(BANDS)]
 
     def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
@@ -223,20 +238,21 @@ def signatures(blocks: DataFrame, counts: DataFrame, n: int) -> DataFrame:
         firsts, at = np.unique(counts["first"].to_numpy(), return_index=True)
         own = np.maximum(np.searchsorted(firsts, texts["row"].to_numpy(), "right") - 1, 0).tolist()
         df, cuts = counts["df"].to_pylist(), [*at.tolist(), counts.num_rows]
-        fps, dfs, keys = [None] * len(words), [None] * len(words), np.zeros((len(words), BANDS), np.int64)
+        fps, dfs, drawn, keys = [None] * len(words), [None] * len(words), [None] * len(words), np.zeros((len(words), BANDS), np.int64)
         for k in range(len(firsts)):
             hashes = {i: shingles.shingle_hashes(w) for i, w in enumerate(words) if own[i] == k and len(w)}
             known = np.concatenate([unpacked(x) for x in df[cuts[k] : cuts[k + 1]]])
             every = Frequencies(np.unique(np.concatenate(list(hashes.values()))), known, n)
-            assert len(every.found) == len(known)
             for i, h in hashes.items():
                 found, weight = weights(h, every)
-                fps[i], dfs[i], keys[i] = shown(words[i]), packed(every.counts(found)), bands(found, weight)
+                one = samples(found, weight)
+                fps[i], dfs[i], drawn[i], keys[i] = shown(words[i]), packed(every.counts(found)), one.astype(np.uint32).tobytes(), bands(one)
         cols = [pa.array(np.ascontiguousarray(c)) for c in keys.T]
-        return pa.Table.from_arrays([texts["doc_id"], pa.array(fps, pa.string()), pa.array(dfs, pa.binary()), *cols], ["doc_id", "fp", "df", *names])
+        known = [pa.array(fps, pa.string()), pa.array(dfs, pa.binary()), pa.array(drawn, pa.binary())]
+        return pa.Table.from_arrays([texts["doc_id"], *known, *cols], ["doc_id", "fp", "df", "drawn", *names])
 
     both = blocks.groupBy("block").cogroup(counts.groupBy("block"))
-    return both.applyInArrow(run, "doc_id long, fp string, df binary, " + ", ".join(f"{b} long" for b in names))
+    return both.applyInArrow(run, "doc_id long, fp string, df binary, drawn binary, " + ", ".join(f"{b} long" for b in names))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least: float, id_col: str, text_col: str) -> DataFrame:
@@ -277,6 +293,48 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least:
     return written(arrow_map(both, run, "u long, v long"), "links")
 
 
+def _dealt(open_: DataFrame, whole: DataFrame, chunk: int, columns: list[str]) -> DataFrame:
+    """key, x, y, outer and columns: the nodes of a bucket outside its main component (outer) and all of its nodes, so that
+    each of the first meets each of the second in one group (key, x, y) of about twice `chunk` rows."""
+    parts = lambda n: F.greatest(F.ceil(F.col(n) / chunk), F.lit(1)).cast("long")
+    dealt = lambda n: F.pmod(F.xxhash64("node"), parts(n))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), parts(n) - 1))
+    left = whole.where("label <> main").select("key", dealt("others").alias("x"), each("n").alias("y"), F.lit(True).alias("outer"), *columns)
+    return left.union(whole.select("key", each("others").alias("x"), dealt("n").alias("y"), F.lit(False).alias("outer"), *columns))
+
+
+def promising(open_: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(key, node): the nodes of a bucket with a partner in another of its components that shares SHARED samples or more,
+    and these partners. Only the samples travel; a row comes out for a node, not for a pair."""
+    whole = open_.join(nodes.select("node", "fp", "drawn"), ["node", "fp"])
+
+    def compare(group: pa.Table) -> pa.Table:
+        outer, label, node = (group[c].to_numpy() for c in ("outer", "label", "node"))
+        drawn = np.frombuffer(b"".join(group["drawn"].to_pylist()), np.uint32).reshape(-1, SAMPLES)
+        a, b = np.flatnonzero(outer), np.flatnonzero(~outer)
+        good = np.zeros(len(node), bool)
+        for at in range(0, len(a), 256):
+            i = a[at : at + 256]
+            same = np.zeros((len(i), len(b)), np.int8)
+            for k in range(SAMPLES):
+                same += drawn[i, k][:, None] == drawn[b, k]
+            pairs = (same >= SHARED) & (label[i][:, None] != label[b])
+            good[i] |= pairs.any(axis=1)
+            good[b] |= pairs.any(axis=0)
+        return pa.table({"key": pa.array([group["key"][0].as_py()] * int(good.sum()), pa.int64()), "node": pa.array(node[good])})
+
+    return _dealt(open_, whole, WIDE_CHUNK, ["node", "label", "drawn"]).groupBy("key", "x", "y").applyInArrow(compare, "key long, node long").distinct()
+
+
+def _opened(labelled: DataFrame) -> DataFrame:
+    """The rows (key, node, fp, label) of buckets that hold several components, with main (the largest of those), n (nodes)
+    and others (nodes that aren't in it)."""
+    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
+    sizes = sizes.where("most < n").withColumn("others", F.col("n") - F.col("most")).drop("most").withColumn("rows", F.col("n"))
+    return written(lookup(labelled, "key", sizes, "rows", F.col("node")).where("main IS NOT NULL"), "open")
+
+
 def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least: float, id_col: str, text_col: str) -> DataFrame:
     """Links (u, v) between components that share a bucket: one for each node outside the bucket's main component and
     each component it is linked to there.
@@ -287,12 +345,8 @@ def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least: f
     source = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     texts = keyed(source, "node", open_.select("node").distinct(), "left_semi")
     texts = written(texts.join(nodes.select("node", "fp", "df", F.array(*[f"b{i}" for i in range(BANDS)]).alias("keys")), "node"), "texts")
-    parts = lambda n: F.greatest(F.ceil(F.col(n) / CHUNK), F.lit(1)).cast("long")
-    dealt = lambda n: F.pmod(F.xxhash64("node"), parts(n))
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), parts(n) - 1))
     whole = open_.join(texts, ["node", "fp"])
-    left = whole.where("label <> main").select("key", dealt("others").alias("x"), each("n").alias("y"), F.lit(True).alias("outer"), "node", "fp", "label", "keys", "text", "df")
-    right = whole.select("key", each("others").alias("x"), dealt("n").alias("y"), F.lit(False).alias("outer"), "node", "fp", "label", "keys", "text", "df")
+    both = _dealt(open_, whole, CHUNK, ["node", "fp", "label", "keys", "text", "df"])
 
     def compare(group: pa.Table) -> pa.Table:
         key, rows, outer = group["key"][0].as_py(), [], group["outer"].to_pylist()
@@ -327,7 +381,7 @@ def across(open_: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, least: f
                 vs += node[good[one]].tolist()
         return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
-    return written(left.union(right).groupBy("key", "x", "y").applyInArrow(compare, "u long, v long"), "links")
+    return written(both.groupBy("key", "x", "y").applyInArrow(compare, "u long, v long"), "links")
 
 
 def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,7 +393,7 @@ def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_
     dropped(counts)
     names = [f"b{i}" for i in range(BANDS)]
     nodes = rows.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp")
-    nodes = written(nodes.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("df").alias("df"), *[F.first(b).alias(b) for b in names]), "nodes")
+    nodes = written(nodes.agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("df").alias("df"), F.first("drawn").alias("drawn"), *[F.first(b).alias(b) for b in names]), "nodes")
     members = nodes.select("node", "fp", "copies", F.explode(F.array(*names)).alias("key"))
     best = F.max_by(F.struct("node", "fp"), F.struct("copies", -F.col("node"))).alias("centre")
     centres = members.groupBy("key").agg(best, F.count("*").alias("n")).where("n > 1")
@@ -348,14 +402,13 @@ def classes(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_
     links = verified(pairs.distinct(), nodes, docs, n, least, id_col, text_col)
     label = components(links)
 
-    # Buckets that hold several components: all pairs across them, but for those within the largest one.
+    # Buckets that hold several components: all pairs across them, but for those within the largest one. First by their
+    # samples, then, of those nodes that are left, by their texts.
     labelled = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")).select("key", "node", "fp", "label")
-    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
-    sizes = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.sum("size").alias("n"), F.max("size").alias("most"))
-    sizes = sizes.where("most < n").withColumn("others", F.col("n") - F.col("most")).drop("most")
-    weighed = sizes.withColumn("rows", F.col("n"))
-    open_ = written(lookup(labelled, "key", weighed, "rows", F.col("node")).where("main IS NOT NULL"), "open")
+    open_ = _opened(labelled)
     if not open_.isEmpty():
+        left = written(promising(open_, nodes), "promising")
+        open_ = _opened(open_.select("key", "node", "fp", "label").join(left, ["key", "node"], "left_semi"))
         known = label.select(F.col("node").alias("u"), F.col("label").alias("v"))
         label = components(known.union(across(open_, nodes, docs, n, least, id_col, text_col)))
     named = nodes.join(label, "node", "left").select("fp", F.coalesce("label", "node").alias("class_id"), "copies")

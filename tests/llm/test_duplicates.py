@@ -67,7 +67,7 @@ def test_near_duplicates(spark):
     for n, words, changes in ((40, 60, 3), (25, 200, 9), (30, 80, 0), (5, 12, 1)):
         docs += variants(r, n, words, changes)
     docs += ["one two", "One, two!", "one", "", None, "!!", "same words here now yes", "same words here now yes"]
-    docs += [" ".join(f"u{r.randrange(10**6)}" for _ in range(40)) for _ in range(30)]
+    docs += [" ".join(f"u{r.randrange(10**6)}" for _ in range(40)) for _ in range(30)] + variants(r, 3, 20000, 900)
     r.shuffle(docs)
     docs = list(enumerate(docs))
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"class_id": F.lit("x"), "fp": F.lit(1)}).repartition(5)
@@ -98,15 +98,20 @@ def test_document_counts_are_exact(spark):
     assert {x.class_id for x in neardup.classes(df.limit(20)).collect()} <= {i for i, _ in docs}
 
 
-def test_bands_meet():
-    """Texts at a similarity of 0.8 nearly always share a band."""
+@pytest.mark.parametrize("size, similarity", [(500, 0.8), (500, 0.6), (20000, 0.8), (20000, 0.85)])
+def test_samples_agree(size, similarity):
+    """Samples of texts of any length agree as often as the texts are similar, so such texts nearly always share a band."""
     r = np.random.default_rng(3)
-    met = 0
-    for _ in range(300):
-        shared, own = r.integers(0, 2**63, 400, dtype=np.uint64), r.integers(0, 2**63, 100, dtype=np.uint64)
-        a, b = np.sort(np.concatenate((shared, own[:50]))), np.sort(np.concatenate((shared, own[50:])))
-        met += (neardup.bands(a, np.full(len(a), 1.7)) == neardup.bands(b, np.full(len(b), 1.7))).any()
-    assert met >= 297
+    met, agree, runs = 0, 0.0, 30 if size > 1000 else 200
+    for _ in range(runs):
+        common = round(size * 2 * similarity / (1 + similarity))
+        shared, own = r.integers(0, 2**63, common, dtype=np.uint64), r.integers(0, 2**63, 2 * (size - common), dtype=np.uint64)
+        # Rare shingles weigh more than the shared ones would, if those were common: here all weigh the same.
+        a, b = (neardup.samples(x, np.full(len(x), 1.7)) for x in (np.sort(np.concatenate((shared, o))) for o in np.split(own, 2)))
+        met += (neardup.bands(a) == neardup.bands(b)).any()
+        agree += (a == b).mean()
+    assert abs(agree / runs - similarity) < 4 * math.sqrt(similarity * (1 - similarity) / (neardup.SAMPLES * runs)) + 0.01
+    assert similarity < 0.8 or met >= 0.99 * runs
 
 
 def lines_kept(docs):
@@ -204,17 +209,49 @@ def test_shared_prompt_is_no_leak(spark):
     assert {(x.doc_id, x.item_id) for x in got.collect()} == {(2, 7)} == set(brute_leaks(docs, items))
 
 
-def test_radius_guarantee(one):
-    """Every fingerprint within the radius shares an entry; a farther one needn't."""
-    r = random.Random(11)
-    for _ in range(20):
-        a = r.getrandbits(63)
-        b = a
-        for bit in r.sample(range(63), decontaminate.RADIUS):
-            b ^= 1 << bit
-        entries = set(one(decontaminate._entries(F.lit(a))))
-        keys = {one(decontaminate._block(F.lit(b), k)) + k * 256 for k in range(decontaminate.BLOCKS)}
-        assert entries & keys
+def test_radius_guarantee(spark):
+    """Fingerprints within the guaranteed radius meet; of pairs at a similarity of 0.8 nearly all do, of others few."""
+    r = np.random.default_rng(11)
+    a = r.integers(-(2**63), 2**63, 300, dtype=np.int64)
+    near = lambda p: a ^ np.packbits(r.random((len(a), 64)) < p, axis=1).view(np.int64)[:, 0]
+    exact = [a.copy() for _ in range(3)]
+    for n in range(len(a)):
+        for bit in r.choice(64, decontaminate.GUARANTEED, replace=False):
+            exact[0][n] ^= np.int64(1) << np.int64(bit)
+    share = lambda s: math.acos(s) / math.pi
+    met = {}
+    for name, b in (("guaranteed", exact[0]), (0.8, near(share(0.8))), (0.9, near(share(0.9))), ("other", near(0.5))):
+        rows = [(i, int(x), int(y)) for i, (x, y) in enumerate(zip(a, b, strict=True))]
+        df = spark.createDataFrame(rows, "i long, x long, y long")
+        met[name] = df.where(F.arrays_overlap(decontaminate.keys_of(F.col("x"), 1), decontaminate.keys_of(F.col("y"), 2))).count() / len(a)
+    assert met["guaranteed"] == 1 and met[0.8] > 0.92 and met[0.9] > 0.98 and met["other"] < 0.1
+
+
+def test_recall_of_leaks(spark):
+    """Passages with one to four changed words in 60: at least nine of ten matches by brute force are found."""
+    r = random.Random(19)
+    word = lambda: f"w{r.randrange(3000)}"
+    items = [(i, " ".join(word() for _ in range(60))) for i in range(40)]
+    docs = []
+    for d in range(200):
+        inside = items[d % 40][1].split()
+        for _ in range(d % 5):
+            inside[r.randrange(60)] = word()
+        docs.append((d, " ".join([word() for _ in range(30)] + inside + [word() for _ in range(30)])))
+    got = {(x.doc_id, x.item_id) for x in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = set(brute_leaks(docs, items))
+    assert got <= want and len(got) >= 0.9 * len(want) > 60
+
+
+def test_long_items_and_shared_ids(spark):
+    r = random.Random(20)
+    text = lambda n: " ".join(f"q{r.getrandbits(50)}" for _ in range(n))
+    long, other = text(20000), text(30)
+    items = [(1, long), (1, other), (2, "one two"), (2, "one two")]
+    docs = [(1, f"{text(50)} {long} {text(50)}"), (2, f"{text(5)} {other}"), (2, "nothing"), (3, "say one two three"), (4, long[: len(long) // 2])]
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(x.doc_id, x.item_id, x.first_word) for x in got.collect()} == {(1, 1, 50), (2, 1, 5), (3, 2, 1)}
+
 
 
 def test_rows_that_share_an_id_keep_their_own_lines(spark):
