@@ -40,22 +40,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def short_plans(spark: SparkSession) -> Iterator[None]:
-    """Meanwhile the driver keeps only the first part of a plan's description: those with large literals fill its memory."""
-    name = "spark.sql.maxPlanStringLength"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "20000")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings for what runs meanwhile."""
+    before = {k: spark.conf.get(k) for k in values}
     try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+#: The driver keeps only the first part of a plan's description: plans with large literals would fill its memory.
+SHORT_PLANS = {"spark.sql.maxPlanStringLength": "20000"}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, read back: lineage ends here and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with short_plans(spark):
+    with settings(spark, SHORT_PLANS):
         df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # Spark deletes finished stages' shuffle files when the driver's heap is swept
     return spark.read.schema(df.schema).parquet(path)
