@@ -19,7 +19,6 @@ read; further columns of any name pass by.
 
 from __future__ import annotations
 
-import gc
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -210,10 +209,7 @@ def _added(sent: DataFrame) -> DataFrame:
 
 def document_counts(blocks: DataFrame, parts: int) -> DataFrame:
     """block, first, part, df: how many documents hold the shingles of a block's run of rows, in order of their hashes."""
-    out = written(_added(_sent(blocks, parts)), "counts")
-    gc.collect()
-    blocks.sparkSession._jvm.System.gc()  # the shuffled shingles go before the texts are shuffled
-    return out
+    return written(_added(_sent(blocks, parts)), "counts")
 
 
 def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> Frequencies:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import shutil
 import tempfile
 import uuid
@@ -21,13 +22,17 @@ BROADCAST_IDS = 400_000
 SLICE = 256
 
 _own_dirs: dict[str, str] = {}
+_runs: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), one of our own on this machine."""
+    """The folder in spark.checkpoint.dir. Where that is unset on one machine (tests), a folder of our own; executors
+    elsewhere would not see such a folder, so then it is an error."""
     given = spark.conf.get("spark.checkpoint.dir", "")
     if given:
         return given.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="pagewright-")
@@ -36,7 +41,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/pagewright/{name}-{uuid.uuid4().hex}"
+    """A new path in this run's folder, which goes when the driver ends."""
+    run = f"{shared_dir(spark)}/pagewright/{spark.sparkContext.applicationId}"
+    if run not in _runs:
+        _runs.add(run)
+        atexit.register(_removed, spark, run)
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
+def _removed(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is None:  # stopped: nothing can reach a shared folder any more
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 @contextlib.contextmanager
@@ -52,28 +69,26 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
-#: The driver keeps only the first part of a plan's description: plans with large literals would fill its memory.
-SHORT_PLANS = {"spark.sql.maxPlanStringLength": "20000"}
+#: While a table is written: the driver keeps only the first part of a plan's description (plans with large literals would
+#: fill its memory), and shuffle files go with the query that made them.
+WRITING = {"spark.sql.maxPlanStringLength": "20000", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, read back: lineage ends here and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with settings(spark, SHORT_PLANS):
+    # The settings hold for the copy of the plan that is made when it is written.
+    with settings(spark, WRITING):
         df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # Spark deletes finished stages' shuffle files when the driver's heap is swept
     return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
     """Deletes the files of a table that written() made, when nothing reads it any more."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/pagewright/" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            _removed(df.sparkSession, folder)
 
 
 def lookup(left: DataFrame, key: str, groups: DataFrame, weight: str, spread: Column) -> DataFrame:

@@ -6,8 +6,8 @@ The dimensions are dealt to LISTS lists; a candidate's score is the sum of its p
    The k-th highest score found anywhere is a lower bound of the true k-th highest one: a safe cutoff.
 2. The cutoffs (a number per query of the block) are broadcast. Who scores at least the cutoff must have at least
    cutoff / LISTS in one list, so each task collects the entries at or above that uniform threshold; all others are out.
-3. For the entries left, scores that aren't known from every list are resolved exactly, and those at or above the
-   cutoff are ranked. Ties with the cutoff pass, so the ranking decides them.
+3. For the entries left, the entries of the other lists are added, and of those at or above the cutoff each task sends
+   its k best for a query (of equal scores the smaller ids), however many tie, to be ranked.
 
 Queries are taken in blocks of at most about QUERY_BLOCK rows (one broadcast of bounded size at a time); candidates
 stream by and are never gathered. Vectors that are null, or hold null or non-finite components, take no part, nor do
@@ -99,13 +99,27 @@ def _local_lists(queries, k: int):
     return run
 
 
-def _sufficient(queries, cutoffs):
-    """Phases 2 and 3: (query number, candidate, score) of everything at or above the query's cutoff."""
+def _kept(best: list[np.ndarray], rows: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> None:
+    """Puts entries (of query number rows) into best, the k best ids and scores of each query; of equal scores the smaller ids."""
+    own = np.unique(rows)
+    held = np.repeat(own, k)
+    all_rows = np.concatenate((held, rows))
+    all_ids, all_scores = np.concatenate((best[0][own].ravel(), ids)), np.concatenate((best[1][own].ravel(), scores))
+    order = np.lexsort((all_ids, -all_scores, all_rows))
+    sorted_rows = all_rows[order]
+    at = np.arange(len(order)) - np.searchsorted(sorted_rows, sorted_rows)
+    order, at = order[at < k], at[at < k]
+    best[0][all_rows[order], at], best[1][all_rows[order], at] = all_ids[order], all_scores[order]
+
+
+def _sufficient(queries, cutoffs, k: int):
+    """Phases 2 and 3: (query number, candidate, score) of each query's k best in this task at or above its cutoff."""
 
     def run(batches):
         ids, q = queries.value
         cut_of = cutoffs.value
-        for first, v_ids, tile, b, own, partial in _tiles(batches, ids, q):
+        best = [np.zeros((len(ids), k), np.int64), np.full((len(ids), k), LOWEST, np.int64)]
+        for first, v_ids, tile, _, own, partial in _tiles(batches, ids, q):
             cut = cut_of[first : first + len(tile), None]
             threshold = -(-cut // LISTS)
             seen = [s >= threshold for s in partial]
@@ -114,12 +128,13 @@ def _sufficient(queries, cutoffs):
             high = sum(np.where(x[at_q, at_v], s[at_q, at_v], threshold[at_q, 0]) for s, x in zip(partial, seen, strict=True))
             left = high >= cut[at_q, 0]
             at_q, at_v = at_q[left], at_v[left]
-            for at in range(0, len(at_q), 65536):
-                i, j = at_q[at : at + 65536], at_v[at : at + 65536]
-                score = np.einsum("nd,nd->n", tile[i], b[j]).astype(np.int64)
-                good = score >= cut[i, 0]
-                out = [pa.array(first + i[good], pa.int64()), pa.array(v_ids[j[good]], pa.int64()), pa.array(score[good])]
-                yield pa.RecordBatch.from_arrays(out, ["n", "vec_id", "score"])
+            # The remaining entries of those that are left make their scores exact.
+            score = sum(s[at_q, at_v] for s in partial)
+            good = score >= cut[at_q, 0]
+            if good.any():
+                _kept(best, first + at_q[good], v_ids[at_v[good]], score[good], k)
+        n, at = np.nonzero(best[1] > LOWEST)
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(best[0][n, at]), pa.array(best[1][n, at])], ["n", "vec_id", "score"])
 
     return run
 
@@ -148,7 +163,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         found = kth.toArrow()
         cut[found["n"].to_numpy()] = found["score"].to_numpy()
         cutoffs = spark.sparkContext.broadcast(cut)
-        hits = rows.mapInArrow(_sufficient(queries, cutoffs), "n long, vec_id long, score long")
+        hits = rows.mapInArrow(_sufficient(queries, cutoffs, k), "n long, vec_id long, score long")
         order = Window.partitionBy("n").orderBy(F.desc("score"), F.asc("vec_id"))
         top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = spark.createDataFrame(pa.table({"n": np.arange(len(ids)), "query_id": ids}))

@@ -24,6 +24,21 @@ def test_topk(spark, top, n):
     assert sorted((x.query_id, x.rank, x.vec_id, x.score) for x in got.collect()) == brute(ids, v)
 
 
+def test_topk_common_vector(spark):
+    """One vector on a third of the rows: the smallest ids win, and a task sends k of them for a query, not all."""
+    r = np.random.default_rng(8)
+    v = r.integers(-40, 41, (1800, 6))
+    v[::3] = 60
+    df = spark.createDataFrame([(int(i), [int(x) for x in row]) for i, row in enumerate(v)], "vec_id long, v array<long>").repartition(3)
+    got = topk.search(df, F.col("vec_id") % 50 == 0)
+    assert sorted((x.query_id, x.rank, x.vec_id, x.score) for x in got.collect()) == brute(np.arange(1800), v)
+    rows, ids, scores = np.array([0, 0, 0, 1]), np.array([9, 4, 7, 1]), np.array([5, 5, 6, 2])
+    best = [np.zeros((2, 2), np.int64), np.full((2, 2), topk.LOWEST)]
+    topk._kept(best, rows, ids, scores, 2)
+    topk._kept(best, np.array([0]), np.array([3]), np.array([5]), 2)
+    assert best[0].tolist() == [[7, 3], [1, 0]] and best[1][0].tolist() == [6, 5]
+
+
 def test_topk_odd_rows(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [float("inf"), 1.0]), (5, [0.5, 0.5]), (6, []), (7, [1.0]), (None, [1.0, 1.0]), (5, [0.5, 0.5])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
