@@ -1,3 +1,8 @@
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from oracle import connect, same
 
@@ -23,3 +28,14 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_optional_part(tmp_path, pipeline):
+    """With the folder of training-data operators gone, whether or not the pipeline is, the rest is still there."""
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "pagewright", tmp_path / "pagewright", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", *(p.name for p in root.glob("corpus_*.py") if pipeline)]:
+        shutil.copy(root / name, tmp_path / name)
+    script = "import __spark_entry__ as e; from pagewright.plans import catalogue as c; assert set(e.queries()) == set(c.QUERIES) and set(e.oracle_sql()) == set(c.ORACLES)"
+    subprocess.run([sys.executable, "-c", script], cwd=tmp_path, check=True, timeout=120)
