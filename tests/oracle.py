@@ -23,7 +23,7 @@ def plain(frame):
             if isinstance(x, float):
                 x = None if x != x else round(x, 6)
                 x = int(x) if x is not None and x == int(x) else x
-            cells.append(repr(None if x is pd.NaT else x))
+            cells.append(repr(None if x is pd.NaT or x is pd.NA else x))
         out.append(tuple(cells))
     return sorted(out)
 
