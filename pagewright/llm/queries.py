@@ -97,7 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_linededup": r"""
 WITH l AS (
-    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS value
+    SELECT doc_id, text AS whole, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS value
     FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
 ), t AS (
     SELECT *, list_sort(list_distinct(list_filter(string_split(lower(value), ' '), lambda x: x <> ''))) AS s FROM l
@@ -111,16 +111,28 @@ g AS (
     SELECT DISTINCT x FROM k JOIN c a ON a.id = x JOIN c b ON b.id = y
     WHERE b.first < a.first AND 9 * len(list_intersect(a.s, b.s)) >= 4 * (len(a.s) + len(b.s))
 ), m AS (
-    SELECT t.doc_id, t.line, t.value, c.id IS NOT NULL AND (c.first < (t.doc_id, t.line)) AS again, c.id IN (SELECT x FROM g) AS sim
+    SELECT t.doc_id, t.whole, t.line, t.value, c.id IS NOT NULL AND (c.first < (t.doc_id, t.line)) AS again, c.id IN (SELECT x FROM g) AS sim
     FROM t LEFT JOIN c ON t.s = c.s
 ), o AS (
-    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (again OR sim) AS n_removed, count(*) FILTER (again) AS n_repeats,
+    SELECT doc_id, whole, count(*) AS n_lines, count(*) FILTER (again OR sim) AS n_removed, count(*) FILTER (again) AS n_repeats,
         coalesce(string_agg(value, chr(10) ORDER BY line) FILTER (NOT coalesce(again OR sim, FALSE)), '') AS text
-    FROM m GROUP BY doc_id
+    FROM m GROUP BY doc_id, whole
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, d.text) END AS text,
     coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_repeats, 0) AS n_repeats
-FROM documents d LEFT JOIN o USING (doc_id)""",
+FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id AND d.text = o.whole""",
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS n, sha1(html) AS x FROM p),
+v AS (SELECT page_id, n, x, list_transform(range(8), lambda k: CAST('0x' || substr(x, CAST(5 * k + 1 AS INTEGER), 5) AS BIGINT)) AS parts FROM h),
+d AS (
+    SELECT page_id, n, array_to_string(flatten(list_transform(parts, lambda b:
+        list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((b >> s) & 31 AS INTEGER) + 1, 1)))), '') AS digest
+    FROM v
+), m AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS top FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM m""",
     "op5_topk": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings

@@ -6,8 +6,13 @@ covers lost executors; a gzip file holds whole records, at most RECORDS_PER_FILE
 
 A null payload is an empty one. Records with equal payloads of at least `least` bytes share one response, that with
 the largest page_id; the others become revisit records. Rows with that same largest page_id are the same page and all
-stay responses; a null page_id never becomes a group's response unless all of them are null. URLs lose control
-characters; a null URL writes no WARC-Target-URI. An empty table gives archives without records.
+stay responses; a null page_id never becomes a group's response unless all of them are null. Repeated rows are records
+of their own, each with its own id. URLs lose control characters; a null URL writes no WARC-Target-URI. An empty table
+gives archives without records.
+
+Archives are deduplicated by joining what they hold: revisit records of a source join the responses of their payload
+digest, like records with that payload. Every source record stays: a revisit whose response isn't in the source keeps the
+reference it has. Payloads are written byte by byte, whether or not they are UTF-8.
 """
 
 from __future__ import annotations
@@ -42,20 +47,24 @@ def base32_of_hex(digest: Column) -> Column:
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, record_id of every row."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
-    out = pages.select(
-        F.col(id_col).alias("page_id"), F.regexp_replace(url_col, r"[\x00-\x20\x7f]+", "%20").alias("url"), payload.alias("payload")
-    )
+    url = F.regexp_replace(url_col, r"[\x00-\x20\x7f]+", "%20").alias("url")
+    out = pages.select(F.col(id_col).alias("page_id"), url, payload.alias("payload"), F.monotonically_increasing_id().alias("__row"))
     # The hash is a column of its own: as a part of the digest's expression it would be made once for each letter.
     out = out.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "__sha1": F.sha1("payload")})
     out = out.withColumn("payload_digest", base32_of_hex(F.col("__sha1"))).drop("__sha1")
-    name = F.md5(F.concat_ws("\n", F.col("page_id").cast("string"), "url", "payload_digest"))
+    return out.withColumn("record_id", _record_id()).drop("__row")
+
+
+def _record_id() -> Column:
+    name = F.md5(F.concat_ws("\n", F.col("page_id").cast("string"), "url", "payload_digest", F.col("__row").cast("string")))
     parts = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return out.withColumn("record_id", F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts)))
+    return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts))
 
 
 def resolved(recs: DataFrame, least: int = 0) -> DataFrame:
-    """recs with refers_to, refers_to_id and refers_to_url: of revisits the response's, else null."""
-    head = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id", "url"))
+    """recs with refers_to, refers_to_id and refers_to_url: of revisits the response's, else null. Records whose payload
+    is null (revisits of a source) aren't a response."""
+    head = F.when(F.col("page_id").isNotNull() & F.col("payload").isNotNull(), F.struct("page_id", "record_id", "url"))
     first = (
         recs.where(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
@@ -78,9 +87,9 @@ def _field(name: str, value: Column, around: tuple[str, str] = ("", "")) -> Colu
 
 def record_text(date: str) -> Column:
     """The record without its last line end, which the writer adds."""
-    revisit = F.col("refers_to").isNotNull()
+    revisit = F.col("revisit")
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(EOL * 2))
-    body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
+    body = F.when(revisit, F.lit("")).otherwise(F.col("payload").cast("string"))  # the same bytes
     return F.concat(
         F.lit(f"WARC/1.1{EOL}"),
         _field("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
@@ -104,6 +113,7 @@ def record_text(date: str) -> Column:
 
 def write(recs: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
     """Writes resolved records as gzipped archives with fresh headers."""
+    recs = recs if "revisit" in recs.columns else recs.withColumn("revisit", F.col("refers_to").isNotNull())
     writer = recs.select(record_text(date).alias("value")).write
     writer.option("lineSep", EOL).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
@@ -172,7 +182,15 @@ def archived(pages: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, source: str, target: str) -> None:
-    """Archives at source, rewritten to target without repeated payloads."""
-    recs = read(spark, source).where(F.col("record_type") == "response")
-    recs = recs.withColumn("html", F.decode("payload", "UTF-8")).select("page_id", "url", "html")
-    write(resolved(records(recs)), target)
+    """Archives at source, rewritten to target with fresh headers, one record for each of theirs: equal payloads are there once."""
+    found = read(spark, source).withColumn("__row", F.monotonically_increasing_id())
+    # Written once: the records' new ids must be the same wherever they are used.
+    recs = written(found.withColumn("old_id", F.col("record_id")).withColumn("record_id", _record_id()).drop("__row"), "source")
+    old = recs.select("old_id", F.col("refers_to").alias("its_page"), F.col("refers_to_id").alias("its_id"), "record_id")
+    out = resolved(recs.drop("refers_to", "refers_to_id", "old_id", "record_type"))
+    # Revisits that found no response keep the reference they had.
+    lost = F.col("payload").isNull() & F.col("refers_to_id").isNull()
+    out = out.join(old.where("its_id IS NOT NULL").select("record_id", "its_page", "its_id"), "record_id", "left")
+    out = out.withColumn("revisit", F.col("refers_to_id").isNotNull() | F.col("payload").isNull())
+    out = out.withColumns({"refers_to": F.when(lost, F.col("its_page")).otherwise(F.col("refers_to")), "refers_to_id": F.when(lost, F.col("its_id")).otherwise(F.col("refers_to_id"))})
+    write(out.drop("its_page", "its_id"), target)
