@@ -2,11 +2,12 @@
 
 A linear SVM per family (one against the rest) picks the family; one-versus-one SVMs vote among its languages. The
 features are hashed byte n-grams of the whole lower-cased text, letters only. The models are fitted on the driver to a
-sample of at most PER_LANGUAGE texts of each of the (at most MAX_LANGUAGES, most frequent) languages; the sample's
-features are computed on the executors. Everything else covers all rows.
+sample of at most PER_LANGUAGE texts of each language and about SAMPLE texts in all, whatever the number of languages; the
+sample's features are computed on the executors. Everything else covers all rows.
 
 A text that is null or has no letter is `und` with score 0, and so is every text if nothing could be learned. Repeated
-rows count each. Only id, text and (for learning) lang are read; further columns of any name pass by.
+rows count each. Only id, text and (for learning) lang are read; further columns of any name pass by. The pipeline's stage
+rejects `und` and scores below LEAST_SCORE.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import features
-from .runtime import arrow_map
+from .runtime import BROADCAST_IDS, arrow_map, written
 
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 100
+#: Texts that are learned from, of all languages together, about (16 kB of the driver's memory each).
+SAMPLE = 8000
 UNKNOWN = "und"
 #: The pipeline's stage rejects texts below this score.
 LEAST_SCORE = 0.3
@@ -121,14 +123,16 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_
     """The models, from rows that aren't held out and have a lang."""
     rows = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("texts")), "languages")
+    languages = counts.count()
+    if not languages:
         return Model()
-    # A share of each language's rows that gives per_language of them, picked by a hash of the id.
-    share = F.coalesce(*[F.when(F.col("lang") == r.lang, F.lit(min(1.0, per_language / r["count"]))) for r in counts], F.lit(0.0))
+    # A share of each language's rows that gives so many of them, picked by a hash of the id.
+    each = max(1, min(per_language, SAMPLE // languages))
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = rows.withColumn("draw", draw).where(F.col("draw") < share)
-    sample = sample.orderBy("draw", "id").limit(per_language * len(counts)).repartition(16, "id")
+    small = F.broadcast(counts) if languages <= BROADCAST_IDS else counts
+    sample = rows.withColumn("draw", draw).join(small, "lang").where(F.col("draw") < each / F.col("texts"))
+    sample = sample.orderBy("draw", "id").limit(each * languages).repartition(16, "id")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         data = [prepared(t.as_py()) for t in batch.column(0)]

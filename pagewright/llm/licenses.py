@@ -1,10 +1,14 @@
 """Licence scan by a positional index of rare words.
 
-Every template is a word sequence with key phrases that must stand in it. The document frequency of all template words
-is counted over the whole corpus; a template's anchors are the highest-IDF words of its key phrases. The index maps an
-anchor word to (template, position). In a file, the anchor words it holds are looked up; every hit names the place where
-the template would have to begin, and only places that all anchors of the template agree on are verified: all key
-phrases must stand there, word by word. Any occurrence of a phrase holds its anchors, so none is missed.
+Every template is a word sequence with mandatory key phrases that must stand in it. The index maps each word of the key
+phrases to (template, position); the document frequency of all template words is counted over the whole corpus. In a
+file, the licence words it holds are looked up from the one with the highest IDF on; each word's places name the starts
+where a template can lie, and the starts of the file's ANCHORS rarest words of a template are intersected. A template goes
+as soon as its starts are empty. At the starts that are left all key phrases are verified, word by word. Any occurrence
+holds all words of its phrases, so none is missed.
+
+The score is the share of a template's IDF mass that stands in its place around the best occurrence, so a bare phrase scores
+less than a whole notice.
 
 A null text is an empty one: no words, no labels, score 0. Repeated rows are scanned each. Words are what is left when
 A-Z are lower-cased and all other ASCII but digits and a-z separates.
@@ -28,8 +32,14 @@ _TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
 
-# The base phrases, their labels, and public licence notices with the phrases that identify them.
+# The base phrases and their labels.
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
+# The notices that base phrases mostly stand in, and public licence notices with the phrases that identify them.
+AROUND = {
+    "mit": "this project is licensed under the mit license see the license file for details",
+    "apache": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "gpl": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+}
 NOTICES = [
     ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
     ("gpl-2.0", "licensed under the gnu general public license version 2", ["gnu general public license version 2"]),
@@ -43,6 +53,10 @@ NOTICES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee", ["permission to use copy modify and or distribute"]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ["redistribution and use in source and binary forms", "with or without modification"]),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license v 2 0"]),
+    ("zlib", "this software is provided as is without any express or implied warranty permission is granted to anyone to use this software for any purpose including commercial applications", ["without any express or implied warranty", "permission is granted to anyone to use this software for any purpose"]),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", ["eclipse public license 2 0"]),
+    ("cc0-1.0", "to the extent possible under law the author has waived all copyright under creative commons zero cc0 1 0 universal", ["cc0 1 0 universal"]),
+    ("boost-1.0", "distributed under the boost software license version 1 0", ["boost software license version 1 0"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
 ]
 
@@ -65,10 +79,10 @@ def _within(inner: list[bytes], outer: list[bytes]) -> int:
 
 
 def templates(notices=NOTICES) -> list[Template]:
-    out = [Template(label, True, words(p), [(0, words(p))]) for label, p in BASE.items()]
-    for label, text, phrases in notices:
+    out = []
+    for base, label, text, phrases in [*((True, n, AROUND[n], [p]) for n, p in BASE.items()), *((False, *n) for n in notices)]:
         body = words(text)
-        out.append(Template(label, False, body, [(_within(words(p), body), words(p)) for p in phrases]))
+        out.append(Template(label, base, body, [(_within(words(p), body), words(p)) for p in phrases]))
     return out
 
 
@@ -91,29 +105,44 @@ def document_frequencies(df: DataFrame, vocabulary: set[bytes], text_col: str =
 
 class Index:
     def __init__(self, items: list[Template], documents: int, frequency: dict[bytes, int]):
-        idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1e-6 for t in items for w in t.words}
+        self.idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1e-6 for t in items for w in t.words}
         self.items = items
-        self.mass = [[idf[w] for w in t.words] for t in items]
-        self.needed: list[int] = []
+        self.mass = [[self.idf[w] for w in t.words] for t in items]
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for n, t in enumerate(items):
-            places = sorted(((-idf[w], w, at + i) for at, p in t.phrases for i, w in enumerate(p)))[:ANCHORS]
-            self.needed.append(len(places))
-            for _, w, at in places:
+            for at, w in {(at + i, w) for at, p in t.phrases for i, w in enumerate(p)}:
                 self.postings.setdefault(w, []).append((n, at))
+        self.needed = [len({w for _, p in t.phrases for w in p}) for t in items]
 
-    def places(self, file: list[bytes]) -> Iterator[tuple[int, int]]:
+    def places(self, file: list[bytes]) -> list[tuple[int, int]]:
         """(template, start in the file) of every verified place."""
-        rare = {w for w in file if w in self.postings}
-        if not rare:
-            return
-        votes: Counter = Counter()
+        held = set(file).intersection(self.postings)
+        words_of = Counter(n for w in held for n in {n for n, _ in self.postings[w]})
+        # Only templates all of whose mandatory words are somewhere in the file.
+        open_ = {n for n, found in words_of.items() if found == self.needed[n]}
+        if not open_:
+            return []
+        stands: dict[bytes, list[int]] = {w: [] for w in held}
         for i, w in enumerate(file):
-            if w in rare:
-                votes.update((n, i - at) for n, at in self.postings[w])
-        for (n, start), agreed in votes.items():
-            if agreed == self.needed[n] and all(start + at >= 0 and file[start + at : start + at + len(p)] == p for at, p in self.items[n].phrases):
-                yield n, start
+            if w in stands:
+                stands[w].append(i)
+        starts: dict[int, set[int]] = {}
+        used: Counter = Counter()
+        for w in sorted(held, key=lambda w: (-self.idf[w], w)):
+            mine: dict[int, list[int]] = {}
+            for n, at in self.postings[w]:
+                if n in open_ and used[n] < ANCHORS:
+                    mine.setdefault(n, []).append(at)
+            for n, ats in mine.items():
+                # A word that stands several times in a template must be there each time.
+                for at in ats:
+                    here = {i - at for i in stands[w]}
+                    starts[n] = starts[n] & here if n in starts else here
+                used[n] += 1
+                if not starts[n]:
+                    open_.discard(n)
+        whole = lambda n, start: all(start + at >= 0 and file[start + at : start + at + len(p)] == p for at, p in self.items[n].phrases)
+        return [(n, start) for n in sorted(open_) for start in starts[n] if whole(n, start)]
 
     def scan(self, text: str | None) -> tuple:
         file = words(text)
@@ -124,7 +153,7 @@ class Index:
             score = max(score, min(1.0, same / sum(mass)))
             labels.add(t.label)
             if t.base:
-                base.append(start)
+                base.append(start + t.phrases[0][0])
                 base_labels.add(t.label)
         ends = (min(base), max(base)) if base else (None, None)
         return len(file), len(base), *ends, ",".join(sorted(base_labels)), ",".join(sorted(labels)), score

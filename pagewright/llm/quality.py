@@ -6,8 +6,9 @@ often each labeller is right for good and for bad texts, and so each pattern's p
 posteriors of at most SAMPLE documents, picked by a hash of the id, are the soft labels of a hashed linear scorer, which
 then scores every document. A document is kept if the mean of its posterior and its score is 0.5 or more.
 
-A null text is an empty one; a text without words gets no vote but that on its length. Repeated rows count each. An
-empty table gives no rows. Only id and text are read; further columns of any name pass by.
+A null text is an empty one; one without words gets a bad vote on its letters and no other, one with fewer than FEW words
+none on repetition and variety. Variety is measured in pieces of PIECE words, so that it doesn't depend on a text's length.
+Repeated rows count each. An empty table gives no rows. Only id and text are read; further columns of any name pass by.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,7 @@ from . import features
 from .runtime import arrow_map
 
 SAMPLE = 4000
+FEW, PIECE = 5, 100
 _SYMBOLS = re.compile(r"[#$%&*^~<>{}\\|=_@]")
 _ENDS = re.compile(r"[.!?][\"')\]]*(?:\s|$)")
 
@@ -41,15 +45,15 @@ def votes(text: str | None) -> tuple[int, ...]:
     letters = sum(map(str.isalpha, text))
     upper = sum(map(str.isupper, text)) / max(letters, 1)
     shouted = text.count("!") / n
-    repeated = 1 - sum(a != b for a, b in zip(words, words[1:])) / max(n - 1, 1)
-    distinct = len(set(words)) / min(n, 1000)
+    repeated = sum(map(eq, words, islice(words, 1, None))) / max(n - 1, 1)
+    distinct = sum(len(set(words[i : i + PIECE])) for i in range(0, n, PIECE)) / n
     ends = len(_ENDS.findall(text)) / n
     return (
         -1 if symbols > 0.03 else int(symbols < 0.004),
         0 if letters < 20 else -1 if upper > 0.2 else int(upper < 0.08),
         -1 if shouted > 0.1 else 0,
-        -1 if repeated > 0.25 else int(repeated < 0.08),
-        -1 if distinct < 0.25 else int(distinct > 0.4),
+        0 if n < FEW else -1 if repeated > 0.25 else int(repeated < 0.08),
+        0 if n < FEW else -1 if distinct < 0.4 else int(distinct > 0.55),
         -1 if ends < 0.01 and n > 30 else int(0.03 < ends < 0.5),
         -1 if letters / chars < 0.5 else int(letters / chars > 0.72),
     )

@@ -64,6 +64,65 @@ def test_estimate():
     assert quality.estimate({}) == {}
 
 
+def test_votes():
+    vote = lambda text: dict(zip(quality.LABELLERS, quality.votes(text), strict=True))
+    assert vote("word")["repetition"] == vote("word")["variety"] == 0
+    assert vote("buy now " * 40)["variety"] == -1 and vote("spam " * 40)["repetition"] == -1
+    prose = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i % 17)}" for i in range(200))
+    assert vote(prose)["variety"] == vote(" ".join([prose] * 50))["variety"] == 1
+    assert set(vote(None).values()) == {0, -1} and vote("")["letters"] == -1
+
+
+def test_estimate_by_hand():
+    """The same steps, one pattern, labeller and class at a time."""
+    counts, rounds = {"++-": 40, "+0+": 25, "--0": 12, "-+-": 9, "000": 3}, 7
+    good = {p: 1 / (1 + np.exp(-(p.count("+") - 3 * p.count("-")))) for p in counts}
+    total = sum(counts.values())
+    for _ in range(rounds):
+        of = lambda p, c: good[p] if c else 1 - good[p]
+        odds = {}
+        for p in counts:
+            by_class = []
+            for c in (0, 1):
+                value = (sum(n * of(q, c) for q, n in counts.items()) + 1) / (total + 2)
+                for at in range(3):
+                    held = {v: sum(n * of(q, c) for q, n in counts.items() if q[at] == v) + 5 * ({"-": 0.7, "0": 1, "+": 0.3} if c == 0 else {"-": 0.3, "0": 1, "+": 0.7})[v] for v in "-0+"}
+                    value *= held[p[at]] / sum(held.values())
+                by_class.append(value)
+            odds[p] = by_class[1] / (by_class[0] + by_class[1])
+        good = odds
+    got = quality.estimate(counts, rounds)
+    assert all(abs(got[p] - good[p]) < 1e-9 for p in counts)
+
+
+def test_language_votes():
+    """The family by the greatest margin, the language by votes of pairs, each worked out one text at a time."""
+    r = np.random.default_rng(6)
+    texts, langs = [], []
+    for lang in ("en", "de", "nl", "fr", "es", "zz"):
+        words = ["".join(r.choice(list("abcdefghijklmnop"), 4)) for _ in range(12)]
+        texts += [" ".join(r.choice(words, 8)).encode() for _ in range(20)]
+        langs += [lang] * 20
+    x = langid.features.matrix(texts)
+    model = langid.fit(x, langs)
+    got, _ = model.predict(x)
+    for row, lang in zip(x, got, strict=True):
+        margins = [float(row @ w[:-1] + w[-1]) for w in model.family_weights]
+        family = model.families[int(np.argmax(margins))]
+        own, votes = model.languages[family], {}
+        for a, b, w in model.pairs[family]:
+            m = float(row @ w[:-1] + w[-1])
+            votes[own[a if m > 0 else b]] = votes.get(own[a if m > 0 else b], 0) + 1
+        assert langid.family_of(lang) == family and votes.get(lang, 0) == max(votes.values(), default=0)
+
+
+def test_many_languages(spark):
+    """No language is left out, however many there are."""
+    rows = [(1000 * k + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{c}" for c in "abcde"), f"x{k}") for k in range(130) for i in range(3)]
+    model = langid.learn(spark.createDataFrame(rows, DOCS))
+    assert sum(map(len, model.languages.values())) > 120
+
+
 def test_quality(spark, sf_dir):
     base = sf_dir.replace("sf0.001", "sf0.01")
     docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")

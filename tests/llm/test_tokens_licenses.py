@@ -66,6 +66,31 @@ def base_places(text):
     return len(words), sorted(found)
 
 
+def labels_of(text):
+    """Every template tried at every word."""
+    file = licenses.words(text)
+    here = lambda t, start: all(start + at >= 0 and file[start + at : start + at + len(p)] == p for at, p in t.phrases)
+    return sorted({t.label for t in licenses.templates() for start in range(-len(t.words), len(file)) if here(t, start)})
+
+
+def test_license_labels():
+    r = random.Random(5)
+    bodies = [t.words for t in licenses.templates()]
+    index = licenses.Index(licenses.templates(), 100, {w: r.randrange(100) for b in bodies for w in b})
+    for _ in range(400):
+        file = []
+        for _ in range(r.randint(0, 4)):
+            body = list(r.choice(bodies))
+            if r.random() < 0.4:
+                body[r.randrange(len(body))] = b"other"
+            file += body[r.randrange(3) :] + [b"the"] * r.randrange(3)
+        text = b" ".join(file).decode()
+        got = index.scan(text)
+        assert got[5] == ",".join(labels_of(text)) and bool(got[5]) == (got[6] > 0)
+    bare, whole = index.scan("the mit license"), index.scan(licenses.AROUND["mit"])
+    assert 0 < bare[6] < 0.7 and whole[6] == 1.0 and (bare[2], whole[2]) == (1, 6)
+
+
 def test_licenses(spark):
     r = random.Random(3)
     parts = ["mit", "license", "MIT License", "apache", "Apache\nLicense", "general public", "license", "gnu", "É", "x9", ".", "--", "version 2 0", "Licensed under CC BY-NC 4.0."]
