@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import kqi, quality, relate, state, telemetry
+from ..operators import documents, kqi, quality, relate, state, telemetry
 
-MODULES = (quality, kqi, telemetry, relate, state)
+MODULES = (quality, kqi, telemetry, relate, state, documents)
 
 QUERIES = {k: q for m in MODULES for k, q in m.QUERIES.items()}
 ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}
