@@ -42,8 +42,8 @@ PER_CENTRE = 200
 #: Nodes of a bucket that are compared with as many others in one task, about.
 CHUNK = 512
 #: The same for their samples, without texts; and how many of the SAMPLES a pair must share for its texts to be compared:
-#: of pairs at a similarity of 0.8, 995 of 1000 do.
-WIDE_CHUNK, SHARED = 4096, 19
+#: of pairs at a similarity of 0.8, 997 of 1000 do.
+WIDE_CHUNK, SHARED = 4096, 18
 
 
 def _quantiles() -> np.ndarray:
@@ -58,7 +58,6 @@ def _quantiles() -> np.ndarray:
 
 _GAMMA = _quantiles()
 _R, _LN_C = _GAMMA.astype(np.float32), np.log(_GAMMA).astype(np.float32)
-_BETA = ((np.arange(1 << 16) + 0.5) / (1 << 16)).astype(np.float32)
 #: One odd factor a sample: a shingle's own random numbers are the upper bits of the product with its hash.
 _FACTORS = np.random.default_rng(77).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -94,7 +93,7 @@ def unpacked(data: bytes) -> np.ndarray:
 def weights_of(words: np.ndarray, df: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The weights of a text whose shingles' packed counts are df."""
     hashes = shingles.shingle_hashes(words)
-    return weights(hashes, Frequencies(np.unique(hashes), unpacked(df), n))
+    return weights(hashes, Frequencies(shingles.distinct(hashes), unpacked(df), n))
 
 
 def shown(words: np.ndarray) -> str:
@@ -119,17 +118,22 @@ def samples(found: np.ndarray, weight: np.ndarray) -> np.ndarray:
     every = np.arange(n)
     for at in range(0, len(found), 1024):
         part, log_w = found[at : at + 1024], np.log(weight[at : at + 1024]).astype(np.float32)
-        draws = (part[:, None] * _FACTORS).view(np.uint16).reshape(len(part), n, 4)
-        r, beta = _R.take(draws[..., 3]), _BETA.take(draws[..., 1])
-        t = np.floor(log_w[:, None] / r + beta)
-        beta -= t
-        beta -= 1
-        beta *= r
-        beta += _LN_C.take(draws[..., 2])
-        first = beta.argmin(axis=0)
-        low = beta[first, every]
+        draws = (_FACTORS[:, None] * part).view(np.int64)
+        r = np.take(_R, draws >> 48 & 0xFFFF, mode="clip")
+        value = (draws >> 16 & 0xFFFF).astype(np.float32)
+        value += 0.5
+        value *= 2.0**-16  # beta
+        t = log_w / r
+        t += value
+        np.floor(t, out=t)
+        value -= t
+        value -= 1
+        value *= r
+        value += np.take(_LN_C, draws >> 32 & 0xFFFF, mode="clip")
+        first = value.argmin(axis=1)
+        low = value[every, first]
         less = low < best
-        best[less], shingle[less], level[less] = low[less], part[first[less]], t[first, every][less].astype(np.int64)
+        best[less], shingle[less], level[less] = low[less], part[first[less]], t[every, first][less].astype(np.int64)
     return shingles.mixed(shingle + shingles.mixed(level.astype(np.uint64)))
 
 
@@ -186,7 +190,7 @@ def _sent(blocks: DataFrame, parts: int) -> DataFrame:
                     if each:
                         yield sent(block, first, each)
                     block, first, each = own.as_py(), row.as_py(), []
-                each.append(np.unique(shingles.shingle_hashes(shingles.word_hashes(text.as_py()))))
+                each.append(shingles.distinct(shingles.shingle_hashes(shingles.word_hashes(text.as_py()))))
         if each:
             yield sent(block, first, each)
 
@@ -238,7 +242,7 @@ def signatures(blocks: DataFrame, counts: DataFrame, n: int) -> DataFrame:
         for k in range(len(firsts)):
             hashes = {i: shingles.shingle_hashes(w) for i, w in enumerate(words) if own[i] == k and len(w)}
             known = np.concatenate([unpacked(x) for x in df[cuts[k] : cuts[k + 1]]])
-            every = Frequencies(np.unique(np.concatenate(list(hashes.values()))), known, n)
+            every = Frequencies(shingles.distinct(np.concatenate(list(hashes.values()))), known, n)
             for i, h in hashes.items():
                 found, weight = weights(h, every)
                 one = samples(found, weight)

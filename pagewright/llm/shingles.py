@@ -18,9 +18,12 @@ _POWERS = np.ones(64, np.uint64)
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every bit of the result depends on every bit of x."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -47,15 +50,32 @@ def shingle_hashes(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
     if not len(words):
         return words
     width = min(width, len(words))
-    out = np.zeros(len(words) - width + 1, np.uint64)
-    for j in range(width):
-        out = out * _BASE + mixed(words[j : len(words) - width + 1 + j] + _U(j + 1))
-    return mixed(out + _U(width))
+    n = len(words) - width + 1
+    out = words[:n] * _BASE
+    for j in range(1, width):
+        out += words[j : n + j]
+        out *= _BASE
+    out += _U(width)
+    return mixed(out)
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """In ascending order."""
+    out = np.sort(hashes)
+    first = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=first[1:])
+    return out[first]
+
+
+_places = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 
 
 def fingerprint(words: np.ndarray) -> tuple[int, int]:
     """128 bits of the word sequence, as two signed integers."""
-    at = np.arange(1, len(words) + 1, dtype=np.uint64)
-    a = mixed(words + at * _BASE).sum(dtype=np.uint64)
-    b = mixed(words ^ mixed(at)).sum(dtype=np.uint64)
+    n = len(words)
+    if n > len(_places[0]):
+        at = np.arange(1, max(2 * n, 1024) + 1, dtype=np.uint64)
+        _places[:] = at * _BASE, mixed(at)
+    a = mixed(words + _places[0][:n]).sum(dtype=np.uint64)
+    b = mixed(words ^ _places[1][:n]).sum(dtype=np.uint64)
     return tuple(np.array([a, b], np.uint64).view(np.int64).tolist())
