@@ -10,27 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .kqi import INSERTION, figure_kqi, gate_columns, rate
-from .tables import FIGURES, LINES, figures, table, text_lines
+from .tables import FIGURES, LINES, figures, running, table, text_lines
 
 #: Tokens of input that a page is taken to need where they weren't recorded.
 INPUT_TOKENS_PER_PAGE = 1500
-#: Neighbouring keys that are numbered and summed together before the groups' totals are.
-RUN = 4096
-
-
-def running(df: DataFrame, group: str, key: Column, order: list[str], value: str, run: int = RUN) -> DataFrame:
-    """df with `number` (from 1) and `before` (the sum of value over the rows before), within group by order.
-
-    key (a number that `order` follows) is cut into runs: rows are numbered within their run, and what stands before a run
-    comes from the runs' totals. So a task holds a run and no group as a whole."""
-    own = df.withColumn("__run", F.floor(key / run))
-    before = Window.partitionBy(group).orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
-    totals = own.groupBy(group, "__run").agg(F.sum(value).alias("__sum"), F.count("*").alias("__rows"))
-    totals = totals.select(group, "__run", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("__sum", "__rows")])
-    inside = Window.partitionBy(group, "__run").orderBy(*order)
-    own = own.withColumns({"__n": F.row_number().over(inside), "__b": F.coalesce(F.sum(value).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
-    out = own.join(totals, [group, "__run"])
-    return out.select(*df.columns, (F.col("__n") + F.col("__rows0")).cast("long").alias("number"), (F.col("__b") + F.col("__sum0")).alias("before"))
 
 
 def chunks_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,16 +224,11 @@ def metadata_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc", metadata_table(ordered).alias("markdown"))
 
 
-def normalized_name(c: Column) -> Column:
-    """A name without parts, chunks and separators, in lower case."""
-    return F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"_part\d+of\d+", ""), r"_chunk\d+", ""), "[-_ ]", ""))
-
-
 def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of parts as chunk files."""
     part = table(spark, sf_dir, "part")
     name = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_part"), F.col("p_size"), F.lit("of50_chunk"), F.col("p_partkey") % 7)
-    return part.select("p_partkey", normalized_name(name).alias("name"))
+    return part.select("p_partkey", T.normalized_name(name).alias("name"))
 
 
 def duration_long(seconds: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .tables import FIGURES, LINES, figures, table, text_lines
+from .tables import FIGURES, LINES, figures, running, table, text_lines
 
 # What hints at a chart; text budgets of a context by mode (0: no limit).
 CHART_HINTS = [
@@ -39,10 +39,22 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conv.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.lag("text").over(order).alias("before"), "text", F.lead("text").over(order).alias("after"))
 
 
+def _window(spark: SparkSession, sf_dir: str, budget: str) -> DataFrame:
+    a, b, c = BUDGETS[budget]
+    return _turns(spark, sf_dir).select("conv_id", "turn", "role", truncated(F.col("before"), a).alias("before"), truncated(F.col("text"), b).alias("current"), truncated(F.col("after"), c).alias("after"))
+
+
 def context_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn with its neighbours cut to the standard budget."""
-    a, b, c = BUDGETS["standard"]
-    return _turns(spark, sf_dir).select("conv_id", "turn", "role", truncated(F.col("before"), a).alias("before"), truncated(F.col("text"), b).alias("current"), truncated(F.col("after"), c).alias("after"))
+    return _window(spark, sf_dir, "standard")
+
+
+def context_window_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _window(spark, sf_dir, "minimal")
+
+
+def context_window_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _window(spark, sf_dir, "full")
 
 
 def prompt_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,10 +107,8 @@ def author_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunk_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a source's chunks, in order: the pages before each."""
-    order = Window.partitionBy("source").orderBy("doc_id")
     docs = table(spark, sf_dir, "documents").select("source", "doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("pages"))
-    before = F.coalesce(F.sum("pages").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return docs.select("source", "doc_id", F.row_number().over(order).cast("long").alias("chunk"), "pages", before.alias("offset"))
+    return running(docs, "source", F.col("doc_id"), ["doc_id"], "pages").select("source", "doc_id", F.col("number").alias("chunk"), "pages", F.col("before").alias("offset"))
 
 
 def split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +170,7 @@ def page_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     retry = lines.where("page % 4 = 0").select("doc_id", "page", F.concat(F.lit("retried: "), "line").alias("fresh"))
     last = lines.where("doc_id % 10 = 0").groupBy("doc_id").agg((F.max("page") + 1).alias("page")).withColumn("fresh", F.lit("placeholder"))
     merged = lines.join(retry.unionByName(last), ["doc_id", "page"], "full")
-    return merged.select("doc_id", "page", F.length(F.coalesce("fresh", "line")).cast("long").alias("chars"), F.col("fresh").isNotNull().alias("fresh"), F.col("line").isNull().alias("added"))
+    return merged.select("doc_id", "page", F.md5(F.coalesce("fresh", "line")).alias("digest"), F.col("fresh").isNotNull().alias("fresh"), F.col("line").isNull().alias("added"))
 
 
 def table_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,11 +189,22 @@ def table_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("rank = 1 AND (score >= 0.2 OR candidates = 1)").select("p_partkey", "table_key", "score", "candidates")
 
 
+def longest_prefix(names: DataFrame, key: str, finals: DataFrame) -> DataFrame:
+    """names (key, name) with final: the longest of finals (one distinct column, final) that the name starts with, or null.
+
+    Every name is taken at all lengths that finals have, so this is a join by equality."""
+    sizes = [r.n for r in finals.select(F.length("final").alias("n")).distinct().orderBy("n").collect()]
+    heads = F.filter(F.array(*map(F.lit, sizes)), lambda n: n <= F.length("name"))
+    tried = names.select(key, "name", F.explode_outer(heads).alias("n")).withColumn("final", F.substring("name", F.lit(1), F.col("n")))
+    found = tried.join(finals, "final", "left_semi").groupBy(key).agg(F.max_by("final", "n").alias("final"))
+    return names.join(found, key, "left")
+
+
 def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of pages against names of sources: the longest source that a page's path starts with, or none."""
-    names = table(spark, sf_dir, "documents").select(F.col("lang").alias("prefix")).distinct()
-    pages = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)", 1).alias("name"))
-    return pages.join(names, F.startswith("name", F.col("prefix")), "left").groupBy("page_id").agg(F.max("name").alias("name"), F.max_by("prefix", F.struct(F.length("prefix"), "prefix")).alias("prefix"))
+    """Names of chunk files (parts with their size) against names of delivered ones (every third part), both normalised."""
+    part = table(spark, sf_dir, "part")
+    names = part.select("p_partkey", T.normalized_name(F.concat("p_name", F.lit("-"), F.col("p_size"), F.lit("_part1of2"))).alias("name"))
+    return longest_prefix(names, "p_partkey", part.where("p_partkey % 3 = 0").select(T.normalized_name(F.col("p_name")).alias("final")).distinct())
 
 
 def top_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +224,7 @@ def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        context_window, prompt_mode, chart_indicators, paragraph_join, spacing_normalised, slug_id, short_name, author_display, chunk_offsets, split_plan, page_gaps,
+        context_window, context_window_minimal, context_window_full, prompt_mode, chart_indicators, paragraph_join, spacing_normalised, slug_id, short_name, author_display, chunk_offsets, split_plan, page_gaps,
         new_index_after_removal, pairing_missing, pending_work, expected_distinct, figure_upsert, page_upsert, table_match, prefix_match, top_details, status_summary,
     )
 }
@@ -226,6 +247,8 @@ _rstrip = lambda c: rf"regexp_replace({c}, '[\s\p{{Z}}]+$', '')"
 _WORDS = r"list_filter(list_distinct(regexp_split_to_array(regexp_replace(lower(p_name), '[^\w\s]', ' ', 'g'), '\s+')), lambda x: length(x) > 2)"
 ORACLES = {
     "context_window": f"SELECT conv_id, turn, role, {_cut('before', 500)} AS before, {_cut('text', 0)} AS current, {_cut('after', 500)} AS after FROM {_TURNS}",
+    "context_window_minimal": f"SELECT conv_id, turn, role, {_cut('before', 100)} AS before, {_cut('text', 300)} AS current, {_cut('after', 100)} AS after FROM {_TURNS}",
+    "context_window_full": f"SELECT conv_id, turn, role, {_cut('before', 2000)} AS before, {_cut('text', 0)} AS current, {_cut('after', 2000)} AS after FROM {_TURNS}",
     "prompt_mode": f"SELECT conv_id, turn, role, CASE WHEN regexp_matches(coalesce(before, '') || chr(10) || text || chr(10) || coalesce(after, ''), '{_HINT}') THEN 'enhanced' ELSE 'simple' END AS mode FROM {_TURNS}",
     "chart_indicators": f"SELECT lang, count(*) AS docs, count(*) FILTER (regexp_matches(text, '{_HINT}')) AS with_chart FROM documents GROUP BY lang",
     "paragraph_join": rf"""WITH b AS (SELECT doc_id, line_no, line, lag(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS before FROM {LINES}),
@@ -254,14 +277,14 @@ ORACLES = {
         LEFT JOIN (SELECT doc, page, part * 10 AS fresh FROM {FIGURES} WHERE has_meta AND part % 3 = 0 AND part > 0) n ON o.doc = n.doc AND o.page = n.page""",
     "page_upsert": f"""WITH l AS (SELECT doc_id, line_no AS page, line FROM {LINES}), r AS (SELECT doc_id, page, 'retried: ' || line AS fresh FROM l WHERE page % 4 = 0
         UNION ALL SELECT doc_id, max(page) + 1, 'placeholder' FROM l WHERE doc_id % 10 = 0 GROUP BY doc_id)
-        SELECT doc_id, page, CAST(length(coalesce(fresh, line)) AS BIGINT) AS chars, r.fresh IS NOT NULL AS fresh, line IS NULL AS added FROM l FULL JOIN r USING (doc_id, page)""",
+        SELECT doc_id, page, md5(coalesce(fresh, line)) AS digest, r.fresh IS NOT NULL AS fresh, line IS NULL AS added FROM l FULL JOIN r USING (doc_id, page)""",
     "table_match": f"""WITH p AS (SELECT p_partkey, p_brand, CAST(p_size AS BIGINT) AS page, {_WORDS} AS words FROM part),
         s AS (SELECT m.p_partkey, t.p_partkey AS table_key, t.page AS table_page, CASE WHEN len(m.words) > 0 AND len(t.words) > 0 THEN round(len(list_intersect(m.words, t.words))::DOUBLE / len(list_distinct(list_concat(m.words, t.words))), 4) ELSE 0 END AS score
             FROM p m JOIN p t ON m.p_brand = t.p_brand AND abs(m.page - t.page) <= 1 WHERE m.p_partkey % 5 = 0 AND t.p_partkey % 5 <> 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, table_page, table_key) AS n, count(*) OVER (PARTITION BY p_partkey) AS candidates FROM s)
         SELECT p_partkey, table_key, score, candidates FROM r WHERE n = 1 AND (score >= 0.2 OR candidates = 1)""",
-    "prefix_match": """WITH n AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)', 1) AS name FROM pages)
-        SELECT page_id, max(name) AS name, arg_max(prefix, (length(prefix), prefix)) AS prefix FROM n LEFT JOIN (SELECT DISTINCT lang AS prefix FROM documents) ON starts_with(name, prefix) GROUP BY page_id""",
+    "prefix_match": """SELECT p_partkey, name, arg_max(final, length(final)) AS final FROM (SELECT p_partkey, lower(regexp_replace(p_name, '[-_ ]', '', 'g')) || p_size AS name FROM part)
+        LEFT JOIN (SELECT DISTINCT lower(regexp_replace(p_name, '[-_ ]', '', 'g')) AS final FROM part WHERE p_partkey % 3 = 0) ON starts_with(name, final) GROUP BY 1, 2""",
     "top_details": f"SELECT doc, page, price FROM {FIGURES} ORDER BY price DESC, doc, page LIMIT 50",
     "status_summary": """SELECT o_orderstatus, count(*) AS orders, count(pages) AS with_pages, CAST(sum(coalesce(pages, 0)) AS BIGINT) AS pages FROM orders
         LEFT JOIN (SELECT l_orderkey, count(*) AS pages FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey GROUP BY 1""",

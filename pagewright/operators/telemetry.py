@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import CALLS, calls, table
+from .tables import CALLS, calls, running, table
 
 # Price per thousand tokens, the estimate of a page's input, failures that open a circuit and for how long.
 PRICE_PER_1K = 0.02
@@ -77,11 +77,11 @@ def delay(attempt: Column) -> Column:
 
 
 def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wait before each attempt: an event's attempt is its place in its key's day, up to ten."""
+    """The wait before each attempt: an event's attempt is its place in its key's day."""
     order = Window.partitionBy("key", F.to_date("ts")).orderBy("ts", "event_id")
     c = calls(table(spark, sf_dir, "events")).withColumn("attempt", (F.row_number().over(order) - 1).cast("long"))
-    c = c.where("attempt < 10").groupBy("attempt").agg(F.count("*").alias("calls"))
-    return c.withColumn("delay", delay(F.col("attempt")))
+    c = c.groupBy("attempt").agg(F.count("*").alias("calls"))
+    return c.withColumn("delay", delay(F.least("attempt", F.lit(20))))
 
 
 def category(status: Column, code: Column, exception: Column, message: Column) -> Column:
@@ -101,6 +101,11 @@ def category(status: Column, code: Column, exception: Column, message: Column) -
     )
 
 
+def should_retry(status: Column, attempt: Column, most: int = 3) -> Column:
+    """Whether a call is made again: for what may pass, as often as `most`."""
+    return F.coalesce(status.isin(*RETRY_STATUS), F.lit(False)) & (attempt < most)
+
+
 def retry_reason(message: Column) -> Column:
     """`skip: pattern` or `retry: pattern` for the first pattern a message holds; unknown errors are retried."""
     low, out = F.lower(message), None
@@ -118,7 +123,9 @@ def error_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.element_at(F.array(*map(F.lit, (200, 429, 500, 503, 401, 403, 400, 404, 502, 504, 200, 200, 200))), (n + 1).cast("int"))
     exception = F.when(n == 10, "ReadTimeout").when(n == 11, "ConnectionError: reset").when(n == 12, "ValueError")
     message = F.when(n == 7, "DataInspectionFailed: page").when(n == 11, "ConnectionError: reset").when(n == 8, "HTTP 502").otherwise(F.col("event_type"))
-    return e.groupBy(category(status, F.lit(""), exception, message).alias("category"), retry_reason(message).alias("action")).agg(F.count("*").alias("calls"))
+    code = F.when(n == 9, "Throttling.RateQuota").otherwise("")
+    again = should_retry(status, F.pmod(F.col("event_id"), F.lit(5)))
+    return e.groupBy(category(status, code, exception, message).alias("category"), retry_reason(message).alias("action")).agg(F.count("*").alias("calls"), F.count_if(again).alias("retried"))
 
 
 def throughput_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,10 +157,12 @@ def resource_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most about 100 evenly spaced samples of each event type."""
-    by = Window.partitionBy("event_type")
-    c = calls(table(spark, sf_dir, "events")).withColumns({"at": F.row_number().over(by.orderBy("ts", "event_id")) - 1, "n": F.count("*").over(by)})
-    step = F.greatest(F.floor(F.col("n") / 100), F.lit(1))
-    return c.where((F.col("at") % step == 0) & (F.col("at") / step < 100)).select("event_type", "event_id", "latency")
+    c = calls(table(spark, sf_dir, "events")).withColumns({"micros": F.unix_micros("ts"), "one": F.lit(1)})
+    total = c.groupBy("event_type").agg(F.count("*").alias("n"))
+    # Runs of an hour.
+    c = running(c, "event_type", F.col("micros"), ["ts", "event_id"], "one", 3_600_000_000).join(total, "event_type")
+    at, step = F.col("number") - 1, F.greatest(F.floor(F.col("n") / 100), F.lit(1))
+    return c.where((at % step == 0) & (at / step < 100)).select("event_type", "event_id", "latency")
 
 
 def recent_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,13 +188,13 @@ ORACLES = {
     "key_choice": f"""WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, key, count(*) AS calls, count(*) FILTER (ok) AS good FROM {CALLS} GROUP BY 1, 2),
         r AS (SELECT *, round(good::DOUBLE / calls, 4) AS success_rate, row_number() OVER (PARTITION BY day ORDER BY round(good::DOUBLE / calls, 4) DESC, calls - good, key) AS n FROM d) SELECT day, key, calls, success_rate FROM r WHERE n = 1""",
     "backoff_schedule": f"""WITH a AS (SELECT row_number() OVER (PARTITION BY key, CAST(ts AS DATE) ORDER BY ts, event_id) - 1 AS attempt FROM {CALLS})
-        SELECT attempt, count(*) AS calls, greatest(least({BASE_DELAY}::DOUBLE * pow(2.0::DOUBLE, attempt), {MAX_DELAY}::DOUBLE), {LEAST_DELAY}::DOUBLE) AS delay FROM a WHERE attempt < 10 GROUP BY attempt""",
-    "error_category": f"""WITH e AS (SELECT event_type, event_id % 13 AS n, [200, 429, 500, 503, 401, 403, 400, 404, 502, 504, 200, 200, 200][event_id % 13 + 1] AS status FROM events),
-        m AS (SELECT *, CASE n WHEN 10 THEN 'ReadTimeout' WHEN 11 THEN 'ConnectionError: reset' WHEN 12 THEN 'ValueError' END AS exception,
+        SELECT attempt, count(*) AS calls, greatest(least({BASE_DELAY}::DOUBLE * pow(2.0::DOUBLE, least(attempt, 20)), {MAX_DELAY}::DOUBLE), {LEAST_DELAY}::DOUBLE) AS delay FROM a GROUP BY attempt""",
+    "error_category": f"""WITH e AS (SELECT event_id, event_type, event_id % 13 AS n, [200, 429, 500, 503, 401, 403, 400, 404, 502, 504, 200, 200, 200][event_id % 13 + 1] AS status FROM events),
+        m AS (SELECT *, status IN (429, 500, 502, 503, 504) AND event_id % 5 < 3 AS again, CASE n WHEN 10 THEN 'ReadTimeout' WHEN 11 THEN 'ConnectionError: reset' WHEN 12 THEN 'ValueError' END AS exception,
             CASE n WHEN 7 THEN 'DataInspectionFailed: page' WHEN 11 THEN 'ConnectionError: reset' WHEN 8 THEN 'HTTP 502' ELSE event_type END AS message FROM e)
-        SELECT CASE WHEN contains(lower(exception), 'timeout') THEN 'timeout' WHEN regexp_matches(lower(exception), 'connection|socket') THEN 'network' WHEN status = 429 THEN 'throttle'
+        SELECT CASE WHEN contains(lower(exception), 'timeout') THEN 'timeout' WHEN regexp_matches(lower(exception), 'connection|socket') THEN 'network' WHEN status = 429 OR n = 9 THEN 'throttle'
             WHEN contains(message, 'DataInspectionFailed') THEN 'moderation' WHEN status >= 500 THEN 'server_error' WHEN status IN (401, 403) THEN 'auth' WHEN status = 400 THEN 'bad_request'
-            WHEN exception IS NOT NULL THEN 'exception' ELSE 'other' END AS category, CASE {_PATTERNS} ELSE 'retry: unknown' END AS action, count(*) AS calls FROM m GROUP BY 1, 2""",
+            WHEN exception IS NOT NULL THEN 'exception' ELSE 'other' END AS category, CASE {_PATTERNS} ELSE 'retry: unknown' END AS action, count(*) AS calls, count(*) FILTER (again) AS retried FROM m GROUP BY 1, 2""",
     "throughput_per_hour": f"SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, event_type, count(*) AS pages, count(DISTINCT key) AS keys, round(count(*)::DOUBLE / 60, 4) AS pages_per_minute FROM {CALLS} GROUP BY 1, 2",
     "running_peaks": f"""WITH s AS (SELECT event_id, key, latency, max(latency) OVER w AS peak, lag(latency) OVER w AS before, (epoch_us(ts) - lag(epoch_us(ts)) OVER w)::DOUBLE / 1000000 AS seconds
         FROM {CALLS} WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)) SELECT event_id, key, peak, CASE WHEN seconds > 0 THEN round((latency - before) / seconds, 4) + 0.0::DOUBLE END AS rate FROM s""",
