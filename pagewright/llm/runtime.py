@@ -81,6 +81,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     # The settings hold for the copy of the plan that is made when it is written.
     with settings(spark, WRITING):
         df.write.parquet(path)
+    # Executors keep the blocks of past broadcasts until the driver's heap is swept, which a small driver does rarely.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
