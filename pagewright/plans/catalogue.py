@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import documents, kqi, markup, quality, relate, state, telemetry
+from ..operators import documents, kqi, markup, quality, relate, state, tables_in_text, telemetry
 
-MODULES = (quality, kqi, telemetry, relate, state, documents, markup)
+MODULES = (quality, kqi, telemetry, relate, state, documents, markup, tables_in_text)
 
 QUERIES = {k: q for m in MODULES for k, q in m.QUERIES.items()}
 ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}
