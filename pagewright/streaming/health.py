@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.tables import CALLS
 from ..operators.telemetry import OPEN_AFTER, OPEN_SECONDS
 
 HEALTH_SCHEMA = "key long, event_id long, failures long, disabled boolean, opened boolean"
@@ -56,3 +59,45 @@ def run_to_table(out: DataFrame, name: str, checkpoint: str, mode: str = "append
     query = out.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return out.sparkSession.table(name)
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir, which all executors share; on one machine without it, a temporary one."""
+    given = spark.conf.get("spark.checkpoint.dir", "")
+    if not given and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{given.rstrip('/') or tempfile.mkdtemp(prefix='pagewright-')}/streams/{uuid.uuid4().hex}"
+
+
+def run_to_files(out: DataFrame) -> DataFrame:
+    """Runs an appending stream over what is there; its result as a table of files."""
+    folder = _folder(out.sparkSession)
+    query = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/rows").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return out.sparkSession.read.schema(out.schema).parquet(f"{folder}/rows")
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return stream_calls(spark.readStream.schema(kind).parquet(f"{sf_dir}/event[s].parquet"))
+
+
+def stream_key_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each call's failures in a row of its key, and whether it opens the circuit."""
+    return run_to_files(key_health(_stream(spark, sf_dir))).select("event_id", "key", "failures", "opened")
+
+
+def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls and failures of every hour that the watermark has closed."""
+    out = run_to_files(throughput(_stream(spark, sf_dir)))
+    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "calls", "failures")
+
+
+QUERIES = {f.__name__: f for f in (stream_key_health, stream_throughput)}
+ORACLES = {
+    "stream_key_health": f"""WITH r AS (SELECT *, count(*) FILTER (ok) OVER (PARTITION BY key ORDER BY ts, event_id) AS run FROM {CALLS}),
+        f AS (SELECT event_id, key, count(*) FILTER (NOT ok) OVER (PARTITION BY key, run ORDER BY ts, event_id) AS failures FROM r)
+        SELECT event_id, key, failures, failures = {OPEN_AFTER} AS opened FROM f""",
+    "stream_throughput": f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS calls, count(*) FILTER (NOT ok) AS failures FROM {CALLS}
+        GROUP BY date_trunc('hour', ts) HAVING date_trunc('hour', ts) + INTERVAL 70 MINUTE <= (SELECT max(ts) FROM events)""",
+}
