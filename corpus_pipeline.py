@@ -1,4 +1,9 @@
-"""The corpus pipeline: five stages, each on all that the stage before kept."""
+"""The corpus pipeline: five stages, each on all that the stage before kept.
+
+Null and empty texts have no language, so they go in the first stage. Repeated rows of a document are kept or dropped
+together, but for lines and texts that an earlier doc_id holds. A null doc_id is never a duplicate nor a leak by itself. Extra columns
+of any name pass by, up to the last stage, which returns its own. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -10,12 +15,12 @@ from pagewright.llm.runtime import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go."""
+    """Documents whose language can't be told go: those that are null or without letters, and scores below 0.3."""
     return langid.accepted(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that match an earlier line go, and documents that have no other."""
+    """Lines that match an earlier line (four fifths of all their tokens) go, and documents that have no other."""
     return linededup.stage(docs)
 
 
@@ -25,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item, at a similarity of 0.8 or more, go."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -1,6 +1,13 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
+from test_duplicates import brute_classes, brute_leaks, lines_kept
+
+from pagewright.llm import neardup
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def test_stages(spark, sf_dir):
@@ -14,3 +21,47 @@ def test_stages(spark, sf_dir):
     last = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
     rows = {tuple(r) for r in last.collect()}
     assert rows == {tuple(r) for r in corpus_pipeline.run(spark, sf_dir).collect()} and 0 < len(rows) <= docs.count()
+
+
+def made():
+    r = random.Random(31)
+    word = lambda: f"w{r.randrange(900)}"
+    line = lambda n: " ".join(word() for _ in range(n))
+    pool, items = [line(12) for _ in range(6)], [(i, line(30)) for i in range(4)]
+    docs = [(i, "\n".join([line(40), *r.sample(pool, r.randrange(3)), *([items[i % 4][1]] if i % 5 == 0 else []), line(25)])) for i in range(40)]
+    docs += [(100 + i, docs[i][1].replace(" ", "  ", 1)) for i in range(6)]
+    return docs, items
+
+
+def test_against_brute_force(spark, tmp_path):
+    """The middle stages on what the first one kept, each worked out without the operators."""
+    docs, items = made()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in docs], SCHEMA)
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    deduplicated = stages[1](spark, df, str(tmp_path))
+    lines = {i: t for i, t in lines_kept(docs).items() if t.strip()}
+    assert {r.doc_id: r.text for r in deduplicated.collect()} == lines
+    known = [(i, t) for i, t in lines.items()]
+    one = stages[2](spark, deduplicated, str(tmp_path))
+    classes = brute_classes(known, neardup.inverse_frequencies(deduplicated))
+    assert {r.doc_id for r in one.collect()} == {i for i, c in classes.items() if i == c}
+    left = [(i, t) for i, t in known if classes[i] == i]
+    clean = stages[3](spark, one, str(tmp_path))
+    assert {r.doc_id for r in clean.collect()} == {i for i, _ in left} - {d for d, _ in brute_leaks(left, items)}
+
+
+def test_odd_rows(spark, tmp_path):
+    docs, items = made()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    long = " ".join(f"the{i}" for i in range(60000))
+    rows = [(i, t, "en", "s", len(t)) for i, t in docs[:12]] + [(1, docs[1][1], "en", "s", 1), (None, "words of no document", None, None, None), (200, None, "en", "s", None), (201, "", None, "s", 0), (202, "12 %%", "en", None, 5), (203, long, "en", "s", len(long))]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"class_id": F.lit("x"), "score": F.lit(1), "row": F.lit(None).cast("int")})
+    for docs_ in (df, df.limit(0)):
+        kept = docs_
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, str(tmp_path))
+            assert kept.columns == df.columns
+        ids = [r.doc_id for r in kept.select("doc_id").collect()]
+        assert {200, 201, 202}.isdisjoint(ids) and (203 in ids) == (docs_ is df)
+        assert corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).count() == len(ids)
