@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import boosting
 from .runtime import arrow_map
 
-PAGES = 500
+PAGES, BARE = 500, 12
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -462,9 +462,11 @@ class _Maker:
             return self.el(self.pick("div", "div", "section"), inside, self.pick("content", "article-body", "post", "entry-content", "story", "main", "page-content"))
         return self.el("div", inside)
 
+    def bare(self) -> str:
+        """Nothing around the article."""
+        return self.pick("", "<body>", "<html><body>") + "".join(self.part() for _ in range(self.pick(1, 1, 2, 4)))
+
     def page(self) -> str:
-        if self.r.random() < 0.04:  # nothing around the article
-            return self.pick("", "<body>", "<html><body>") + "".join(self.part() for _ in range(self.pick(1, 1, 2, 4)))
         before = [f for f, p in ((self.header, 0.5), (self.nav, 0.75), (self.notice, 0.25), (self.ad, 0.5), (self.form, 0.15), (self.side, 0.15)) if self.r.random() < p]
         after = [f for f, p in ((self.comments, 0.35), (self.side, 0.35), (self.ad, 0.3), (self.form, 0.15), (self.nav, 0.1), (self.footer, 0.8), (self.notice, 0.1)) if self.r.random() < p]
         if self.r.random() < 0.3:
@@ -497,7 +499,7 @@ def _labels(page: Page) -> np.ndarray:
 @lru_cache(maxsize=1)
 def trained(pages: int = PAGES, seed: int = 7) -> boosting.Trees:
     maker = _Maker(seed)
-    parsed = [parse(maker.page()) for _ in range(pages)]
+    parsed = [parse(maker.page()) for _ in range(pages)] + [parse(maker.bare()) for _ in range(BARE)]
     return boosting.fit(np.vstack([node_features(p) for p in parsed]), np.concatenate([_labels(p) for p in parsed]))
 
 
