@@ -243,6 +243,30 @@ def test_recall_of_leaks(spark):
     assert got <= want and len(got) >= 0.9 * len(want) > 60
 
 
+@pytest.mark.parametrize("least", [0.8, 0.6])
+def test_no_leak_is_left_out(spark, least):
+    """Pairs near the threshold, and pairs whose own words outweigh what they share with all other items."""
+    r = random.Random(23)
+    word = lambda: f"w{r.randrange(10**6)}"
+    text = lambda n: " ".join(word() for _ in range(n))
+    items, docs = [(i, text(60)) for i in range(20)], []
+    for d in range(60):
+        inside = items[d % 20][1].split()
+        for at in range(d % 7, 60, r.choice((17, 23, 31))):
+            inside[at] = word()
+        docs.append((d, " ".join([text(9), *inside, text(9)])))
+    prompt = text(60)
+    items += [(100 + i, f"{prompt} {text(3)}") for i in range(20)]
+    docs += [(1000 + i, f"{text(20)} {prompt} {' '.join(items[20 + i][1].split()[-3:][: 1 + i % 3])} {text(20)}") for i in range(20)]
+    # The start of an item is an item too; a document that ends there holds both.
+    items += [(200, text(64)), (201, text(60))]
+    items += [(300, items[-2][1] + " " + text(3)), (301, items[-1][1] + " " + text(2))]
+    docs += [(2000, items[-4][1]), (2001, items[-3][1])]
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), least)
+    want = brute_leaks(docs, items, least)
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == set(want) and {(2000, 200), (2000, 300), (2001, 201), (2001, 301)} <= set(want) and len(want) > 40
+
+
 def test_long_items_and_shared_ids(spark):
     r = random.Random(20)
     text = lambda n: " ".join(f"q{r.getrandbits(50)}" for _ in range(n))
