@@ -16,7 +16,7 @@ import json
 import re
 import sys
 from functools import cached_property, lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,22 +32,24 @@ NEVER = 1 << 40
 CACHE_WORDS = 120_000
 
 
-def _class(letter: str) -> str:
-    """The code points of a general category's first letter, as ranges of a character class. The library's own tables
+def _class(letter: str, last: int) -> str:
+    """The code points up to `last` of a general category's first letter, as ranges of a character class. The library's own tables
     say which they are (Unicode versions differ); the standard library's matcher is the faster one to run."""
     out, splitter = [], Split(Regex(rf"[^\p{{{letter}}}]+"), "removed")
-    for start in range(0, sys.maxunicode + 1, 1 << 14):
+    for start in range(0, last + 1, 1 << 14):
         if not 0xD800 <= start < 0xE000:
-            points = [c for c in range(start, start + (1 << 14)) if not 0xD800 <= c < 0xE000]
+            points = [c for c in range(start, min(start + (1 << 14), last + 1)) if not 0xD800 <= c < 0xE000]
             runs = splitter.pre_tokenize_str("".join(map(chr, points)))
             out += [f"\\U{points[a]:08x}-\\U{points[z - 1]:08x}" for _, (a, z) in runs]
     return "".join(out)
 
 
-def split_pattern() -> re.Pattern:
+def split_pattern(last: int = sys.maxunicode) -> re.Pattern:
+    """For texts of code points up to `last`. The matcher looks ranges up to U+FFFF up in a bitmap, but walks through all
+    ranges beyond for every other character, so most texts are split without those."""
     # The public byte-level pattern; white space as Unicode's White_Space.
     space = r"\t-\r \x85\xa0  -     　"
-    letters, numbers = _class("L"), _class("N")
+    letters, numbers = _class("L", last), _class("N", last)
     return re.compile(
         f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+"
         f"|[{space}]+(?![^{space}])|[{space}]+"
@@ -61,6 +63,8 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+#: Tokens are looked up by their first bytes; where no token of so many begins, only shorter ones are tried.
+HEAD = 4
 #: Bytes of a word up to which a scan for the least rank is faster than a heap.
 SHORT = 40
 
@@ -98,28 +102,37 @@ class ByteBpe:
             codes[r] = x * n + y
         order = np.argsort(codes)
         self.pair_codes, self.pair_ranks = codes[order], order.astype(np.int64)
-        # What greedy matching may propose: single bytes and results of merges; longest token by its first two bytes.
+        # What greedy matching may propose: single bytes and results of merges; longest token by its first HEAD bytes.
         made = [*self.byte_id, *(z for _, z in self.merge.values())]
         self.by_bytes = {self.token_bytes[i]: i for i in made}
         self.longest: dict[bytes, int] = {}
         for t in self.by_bytes:
-            self.longest[t[:2]] = max(self.longest.get(t[:2], 1), len(t))
+            if len(t) >= HEAD:
+                self.longest[t[:HEAD]] = max(self.longest.get(t[:HEAD], 0), len(t))
         self.lengths = np.array([len(t) for t in self.token_bytes], np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         self.all_bytes = np.frombuffer(b"".join(self.token_bytes), np.uint8)
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}  # token ids of 32 bits
+        self.older: dict[str, bytes] = {}
 
     @cached_property
     def pattern(self) -> re.Pattern:
         return split_pattern()
 
+    @cached_property
+    def basic_pattern(self) -> re.Pattern:
+        return split_pattern(0xFFFF)
+
+    @cached_property
+    def ascii_pattern(self) -> re.Pattern:
+        return split_pattern(0x7F)
+
     # Speculation
 
     def propose(self, word: bytes) -> list[int]:
         out, at, end, known, longest = [], 0, len(word), self.by_bytes, self.longest
         while at < end:
-            for stop in range(min(end, at + longest.get(word[at : at + 2], 1)), at, -1):
+            for stop in range(min(end, at + longest.get(word[at : at + HEAD], HEAD - 1)), at, -1):
                 if (i := known.get(word[at:stop])) is not None:
                     out.append(i)
                     at = stop
@@ -210,19 +223,25 @@ class ByteBpe:
         ok = self.compatible(pairs // self.size, pairs % self.size)
         failing = np.zeros(len(words), bool)
         failing[word_of[inner[~ok[of_pair]]]] = True
-        for i in np.flatnonzero(failing):
+        for i in np.flatnonzero(failing).tolist():
             proposed[i] = self.merged_short(raw[i]) if len(raw[i]) <= SHORT else self.merged(raw[i])
-        self.cache.update(zip(words, map(tuple, proposed), strict=True))
+        packed = np.fromiter(chain.from_iterable(proposed), np.int32).tobytes()
+        ends = [4 * n for n in accumulate(map(len, proposed))]
+        self.cache.update(zip(words, (packed[a:z] for a, z in zip([0, *ends], ends)), strict=True))
 
     def words_of(self, text: str) -> list[str]:
+        if text.isascii():
+            pattern = self.ascii_pattern
+        else:
+            pattern = self.basic_pattern if len(text.encode("utf-16-le")) == 2 * len(text) else self.pattern
         if self.added_pattern is None or not any(t in text for t in self.added):
-            return self.pattern.findall(text)
+            return pattern.findall(text)
         out, at = [], 0
         for m in self.added_pattern.finditer(text):
-            out += self.pattern.findall(text[at : m.start()])
+            out += pattern.findall(text[at : m.start()])
             out.append("\x00\x00added" + m[0])
             at = m.end()
-        return out + self.pattern.findall(text[at:])
+        return out + pattern.findall(text[at:])
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.words_of(t) if t else [] for t in texts]
@@ -234,11 +253,11 @@ class ByteBpe:
         for t, i in self.added.items():
             if (mark := "\x00\x00added" + t) in new:
                 new.discard(mark)
-                self.cache[mark] = (i,)
+                self.cache[mark] = np.int32(i).tobytes()
         if new:
             self.learn([*new])
         known = self.cache
-        return [np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32) for words in split]
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in split]
 
     def decode_batch(self, batch: list[np.ndarray]) -> list[str]:
         out = []

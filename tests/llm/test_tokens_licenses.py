@@ -32,6 +32,18 @@ def test_encode_like_library(library):
     assert own.decode_batch(ids) == [library.decode(x, skip_special_tokens=False) for x in want]
 
 
+def test_texts_are_split_without_ranges_they_do_not_hold(library):
+    """The pattern for all code points is slow: it is made for a text that needs it, and all patterns split alike."""
+    own = bpe.ByteBpe(bpe_vocabulary())
+    odd = ["it's \x00\x7f a1 \x1c\x1d  b", "\x80\xa0 été 中文٣\ue000\uffff x\u3000 y", "<|endoftext|>a <|endoftext|>é"]
+    wide = [f"{t} \U0001d538\U00010348 \U0010ffff{t}" for t in odd]
+    got = [x.tolist() for x in own.encode_batch(odd)]
+    assert "pattern" not in vars(own)
+    got += [x.tolist() for x in own.encode_batch(wide)]
+    assert got == [x.ids for x in library.encode_batch(odd + wide, add_special_tokens=False)]
+    assert all(own.pattern.findall(t) == own.basic_pattern.findall(t) for t in odd) and own.pattern.findall(odd[0]) == own.ascii_pattern.findall(odd[0])
+
+
 def test_pairs_and_merges():
     own = bpe.ByteBpe(bpe_vocabulary())
     r = random.Random(2)
