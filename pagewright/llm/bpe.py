@@ -243,6 +243,10 @@ class ByteBpe:
             at = m.end()
         return out + pattern.findall(text[at:])
 
+    def forget(self) -> None:
+        """Empties the memory of words."""
+        self.cache, self.older = {}, {}
+
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.words_of(t) if t else [] for t in texts]
         if len(self.cache) > CACHE_WORDS:
@@ -294,7 +298,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             columns["decoded"] = pa.array(vocabulary(path).decode_batch(ids), pa.string())
         return pa.RecordBatch.from_pydict(columns)
 
-    out = arrow_map(key, run, f"key {kind}, token_ids array<int>" + ", decoded string" * decoded, rows=128)
+    out = arrow_map(key, run, f"key {kind}, token_ids array<int>" + ", decoded string" * decoded, rows=128, done=lambda: vocabulary(path).forget())
     return out.withColumnRenamed("key", id_col)
 
 

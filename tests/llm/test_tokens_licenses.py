@@ -44,6 +44,22 @@ def test_texts_are_split_without_ranges_they_do_not_hold(library):
     assert all(own.pattern.findall(t) == own.basic_pattern.findall(t) for t in odd) and own.pattern.findall(odd[0]) == own.ascii_pattern.findall(odd[0])
 
 
+def test_waiting_workers_hold_no_words(spark):
+    """A Python worker that waits for more tasks stands beside the executor's other stages: its memory of words goes."""
+    path = bpe_vocabulary()
+    df = spark.createDataFrame([(i, f"zq{i}x some words{i}") for i in range(400)], "doc_id long, text string").repartition(8)
+    assert bpe.round_trip(df, path).agg(F.sum("n_tokens")).first()[0] > 400
+
+    def words(batches):
+        import pyarrow as pa
+
+        rows = sum(b.num_rows for b in batches)
+        known = bpe.vocabulary(path)
+        yield pa.RecordBatch.from_pydict({"rows": [rows], "words": [len(known.cache) + len(known.older)]})
+
+    assert {r.words for r in spark.range(8).repartition(8).mapInArrow(words, "rows long, words long").collect()} == {0}
+
+
 def test_pairs_and_merges():
     own = bpe.ByteBpe(bpe_vocabulary())
     r = random.Random(2)
