@@ -1,3 +1,4 @@
+import gc
 import random
 
 import pytest
@@ -5,6 +6,7 @@ from pyspark.sql import functions as F
 from test_duplicates import brute_classes, brute_leaks, lines_kept
 
 from pagewright.llm import neardup
+from pagewright.llm.runtime import written
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -23,6 +25,38 @@ def test_stages(spark, sf_dir):
     assert rows == {tuple(r) for r in corpus_pipeline.run(spark, sf_dir).collect()} and 0 < len(rows) <= docs.count()
 
 
+def test_stages_begin_with_small_heaps(spark, monkeypatch):
+    """A heap that an earlier stage made large is given back before the next one's Python workers start."""
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    held = [spark._jvm.java.nio.ByteBuffer.allocate(50 << 20) for _ in range(24)]
+    before = runtime.totalMemory() >> 20
+    del held
+    gc.collect()
+    after = corpus_pipeline.alone(lambda *_: runtime.totalMemory() >> 20)(spark, None, "")
+    assert before > 1200 and after < before - 600
+
+    class Swept(Exception):
+        pass
+
+    def swept(session):
+        raise Swept
+
+    monkeypatch.setattr(corpus_pipeline, "swept", swept)
+    for _, stage in corpus_pipeline.STAGES:
+        with pytest.raises(Swept):
+            stage(spark, None, "")
+
+
+def test_texts_reach_python_in_small_batches(spark, sf_dir, monkeypatch):
+    """The last stage has run when it returns, and while it ran a batch held BATCH rows at most."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    monkeypatch.setattr(corpus_pipeline, "written", lambda df, n: seen.append(spark.conf.get(name)) or written(df, n))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert seen == [str(corpus_pipeline.BATCH)] and int(spark.conf.get(name)) > corpus_pipeline.BATCH
+    assert "MapInArrow" not in out._jdf.queryExecution().toString() and out.count() == docs.count()
+
+
 def made():
     r = random.Random(31)
     word = lambda: f"w{r.randrange(900)}"
