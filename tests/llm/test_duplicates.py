@@ -135,6 +135,26 @@ def test_line_dedup(spark):
     assert linededup.deduplicated(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 8, 1 << 40])
+def test_order_of_tokens_never_changes_the_result(spark, monkeypatch, share):
+    """Whether all documents, some or none are drawn to estimate how rare tokens are."""
+    monkeypatch.setattr(linededup, "SHARE", share)
+    r = random.Random(12)
+    pool = variants(r, 40, 25, 4) + variants(r, 25, 8, 1) + ["the of " + x for x in variants(r, 25, 12, 3)]
+    docs = [(i, "\n".join(r.choices(pool, k=r.randint(1, 5)))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert {x.doc_id: x.text for x in linededup.deduplicated(df).collect()} == lines_kept(docs)
+
+
+def test_rarity_is_estimated_from_a_share(spark):
+    docs = spark.range(40000).selectExpr("id AS doc_id", "concat('common u', id) AS text")
+    level = F.get(linededup.rarity(docs), linededup._hash(F.lit("common")).bitwiseAND(F.lit((1 << linededup.SKETCH_BITS) - 1)).cast("int"))
+    assert spark.range(1).select(level.alias("x")).first().x == math.floor(math.log(40000, 4))
+    own = F.get(linededup.rarity(docs.where("doc_id < 400")), linededup._hash(F.col("t")).bitwiseAND(F.lit((1 << linededup.SKETCH_BITS) - 1)).cast("int"))
+    drawn = spark.range(400).selectExpr("concat('u', id) AS t").where(own > 0).count()
+    assert 0 < drawn < 40  # 400 / SHARE of the documents are counted, about
+
+
 def test_long_lines(spark):
     r = random.Random(9)
     base = [f"t{i}" for i in range(2500)]
