@@ -177,16 +177,22 @@ def table_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best title match in a band: parts as metadata (page: size), parts of the same brand as tables on pages p-1..p+1.
 
     Scored by the overlap of the titles' words; the best score wins, ties go to the lower page and key; a score below 0.2
-    only counts where it is the only candidate. The equal brand and the page's bucket make it an equi-join first."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.col("p_size").cast("long").alias("page"), T.keywords(F.col("p_name")).alias("words"))
+    only counts where it is the only candidate. What has the same brand, page and words has the same scores, so such parts
+    are compared once: of tables the one with the lowest key can win, all of them count as candidates."""
+    words = F.array_sort(T.keywords(F.col("p_name"))).alias("words")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.col("p_size").cast("long").alias("page"), words)
     meta = part.where("p_partkey % 5 = 0")
-    tables = part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("table_key"), "p_brand", F.col("page").alias("table_page"), F.col("words").alias("table_words"))
+    tables = part.where("p_partkey % 5 <> 0").groupBy("p_brand", F.col("page").alias("table_page"), F.col("words").alias("table_words"))
+    tables = tables.agg(F.min("p_partkey").alias("table_key"), F.count("*").alias("n"))
     near = tables.withColumn("page", F.explode(F.array(F.col("table_page") - 1, F.col("table_page"), F.col("table_page") + 1)))
+    titles = meta.select("p_brand", "page", "words").distinct()
+    # The best score is the least struct of score (negative), page and key: no sort of a title's candidates.
     score = F.round(T.jaccard(F.col("words"), F.col("table_words")), 4)
-    found = meta.join(near, ["p_brand", "page"]).withColumn("score", score)
-    best = Window.partitionBy("p_partkey").orderBy(F.desc("score"), "table_page", "table_key")
-    found = found.withColumns({"rank": F.row_number().over(best), "candidates": F.count("*").over(Window.partitionBy("p_partkey"))})
-    return found.where("rank = 1 AND (score >= 0.2 OR candidates = 1)").select("p_partkey", "table_key", "score", "candidates")
+    found = titles.join(near, ["p_brand", "page"]).groupBy("p_brand", "page", "words")
+    found = found.agg(F.min(F.struct((-score).alias("less"), "table_page", "table_key")).alias("best"), F.sum("n").alias("candidates"))
+    found = found.select("p_brand", "page", "words", F.col("best.table_key").alias("table_key"), (-F.col("best.less")).alias("score"), "candidates")
+    found = found.where("score >= 0.2 OR candidates = 1")
+    return meta.join(found, ["p_brand", "page", "words"]).select("p_partkey", "table_key", "score", "candidates")
 
 
 def longest_prefix(names: DataFrame, key: str, finals: DataFrame) -> DataFrame:
