@@ -25,16 +25,16 @@ def tables_of(sidecar: Column) -> Column:
     figures = F.coalesce(F.from_json(sidecar, f"struct<figures:{FIGURES}>")["figures"], F.from_json(sidecar, FIGURES))
     kept = F.filter(figures, lambda f: f["chart_identification"]["image_type"] == "table")
     page = lambda f: F.coalesce(f["chart_identification"]["page_number"], F.lit(0))
-    ordered = F.array_sort(F.transform(kept, lambda f, i: F.struct(page(f).alias("page"), i.alias("i"))))
-    return F.transform(ordered, lambda o: F.get(kept, o["i"]))
+    ordered = lambda every: F.array_sort(F.transform(every, lambda f, i: F.struct(page(f).alias("page"), i.alias("i"))))
+    return T.let(kept, lambda every: F.transform(ordered(every), lambda o: F.get(every, o["i"])))
 
 
 def filtered_labels(labels: Column, elements: Column, title: Column) -> Column:
     """Labels that say something: neither the table's headings nor its title nor a common heading, three characters or
     more, not only digits."""
     skip = F.concat(F.transform(F.coalesce(elements, F.array().cast("array<string>")), F.lower), F.array(F.lower(title)), F.array(*map(F.lit, COMMON_HEADERS)))
-    said = lambda x: ~F.array_contains(skip, F.lower(T.strip(x))) & (F.length(T.strip(x)) >= 3) & ~T.strip(x).rlike(r"(?U)^\d+$")
-    return F.filter(F.coalesce(labels, F.array().cast("array<string>")), said)
+    said = lambda s, x: ~F.array_contains(s, F.lower(T.strip(x))) & (F.length(T.strip(x)) >= 3) & ~T.strip(x).rlike(r"(?U)^\d+$")
+    return T.let(skip, lambda s: F.filter(F.coalesce(labels, F.array().cast("array<string>")), lambda x: said(s, x)))
 
 
 def table_section(t: Column, translated=lambda c: c) -> Column:
@@ -43,14 +43,14 @@ def table_section(t: Column, translated=lambda c: c) -> Column:
     seen = t["visual_content"]
     about, insight = [translated(F.coalesce(seen[c], F.lit(""))) for c in ("content_description", "key_insight")]
     labels = filtered_labels(seen["text_labels"], seen["key_elements"], title)
-    items = F.when(F.size(labels) > 0, F.concat(F.lit("**Itens:**\n"), F.array_join(F.transform(labels, lambda x: F.concat(F.lit("* "), x)), "\n")))
+    items = T.let(labels, lambda ls: F.when(F.size(ls) > 0, F.concat(F.lit("**Itens:**\n"), F.array_join(F.transform(ls, lambda x: F.concat(F.lit("* "), x)), "\n"))))
     return F.concat_ws("\n", F.concat(F.lit("### "), title), F.lit(""), F.when(about != "", F.concat(about, F.lit("\n"))), items, F.when(insight != "", F.concat(F.lit("\n**Insight:** "), insight)))
 
 
 def with_tables(document: Column, sidecar: Column) -> Column:
     """A document with the sections of its sidecar's tables; as it is without any."""
     section = F.array_join(F.transform(tables_of(sidecar), lambda t: table_section(t)), "\n\n")
-    return sheets.inject_tables(document, F.coalesce(section, F.lit("")))
+    return T.let(section, lambda made: sheets.inject_tables(document, F.coalesce(made, F.lit(""))))
 
 
 def counts(c: Column) -> dict[str, Column]:
@@ -73,7 +73,9 @@ def _sidecar() -> Column:
 
 def injected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as sheets with an `Importante` section, in front of which their tables go."""
-    part = table(spark, sf_dir, "part").select("p_partkey", with_tables(F.lit("# T\n\n## Importante!\nend"), _sidecar()).alias("document"))
+    # Rows are short and take long: a small file would be one task.
+    part = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+    part = part.select("p_partkey", with_tables(F.lit("# T\n\n## Importante!\nend"), _sidecar()).alias("document"))
     return part.select("p_partkey", F.md5("document").alias("digest"), F.length("document").cast("long").alias("chars"))
 
 
