@@ -47,3 +47,38 @@ def test_entries_of_frequent_tokens_share_a_key_if_they_may_match(spark):
     pairs = every.alias("a").crossJoin(every.alias("b")).where(linededup._places("a", "b", F.lit(0)))
     assert pairs.count() > 10000 and pairs.where(~F.arrays_overlap("a.keys", "b.keys")).count() == 0
     assert every.agg(F.avg(F.size("keys")).alias("x")).first().x < 1.5 and every.where("size(keys) > 2").count() == 0
+
+
+def shuffles(spark, monkeypatch, make):
+    """The exchanges, and those that stand for another, in the plan of what make() writes last."""
+    seen, written = [], linededup.written
+    monkeypatch.setattr(linededup, "written", lambda df, name: seen.append(df) or written(df, name))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        make()
+        plan = seen[-1]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange"), plan.count("ReusedExchange")
+
+
+CHOSEN = ["id AS k1", "id AS parity", "id % 3 AS key", "struct(id AS doc_id, 0 AS line, xxhash64(concat('a b c d ', id)) AS row) AS first", "5 AS n"]
+
+
+def test_sets_verified_among_themselves_are_shuffled_once(spark, monkeypatch):
+    chosen = linededup.written(spark.range(20).selectExpr(*CHOSEN, "split('a b c d e', ' ') AS set"), "chosen")
+    # The join's one exchange, and that of distinct().
+    assert shuffles(spark, monkeypatch, lambda: linededup._verified(chosen, chosen)) == (2, 1)
+
+
+def test_texts_of_chosen_lines_are_shuffled_once(spark, monkeypatch):
+    docs = spark.range(20).selectExpr("id AS doc_id", "concat('a b c d ', id) AS text")
+    docs = linededup.written(docs.unionAll(docs), "docs")
+    chosen = linededup.written(spark.range(20).selectExpr(*CHOSEN), "chosen")
+    got = []
+    # Of the texts and of the chosen lines.
+    assert shuffles(spark, monkeypatch, lambda: got.extend(linededup.with_tokens(docs, chosen).collect())) == (2, 0)
+    assert {(r.k1, r.set[-1], len(r.set)) for r in got} == {(i, str(i), 5) for i in range(20)} and len(got) == 20
